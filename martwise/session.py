@@ -19,6 +19,15 @@ CORE_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+# Static settings, only effective when the session is created.  Capturing
+# the Python call site of every Column costs several JVM round trips per
+# expression, and the builders create thousands of expressions.
+STATIC_CONF = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+}
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "martwise", extra: dict | None = None) -> SparkSession:
@@ -31,9 +40,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(CORE_CONF)
-    conf["spark.ui.enabled"] = "false"
-    conf["spark.ui.showConsoleProgress"] = "false"
+    conf = {**CORE_CONF, **STATIC_CONF}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
