@@ -40,13 +40,14 @@ def rename_existing(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """P3 + P4: add missing columns as typed nulls, cast, and order as ``schema``."""
+def conform(df: DataFrame, schema: T.StructType, *extra: str) -> DataFrame:
+    """P3 + P4: add missing columns as typed nulls, cast, and order as
+    ``schema``; ``extra`` helper columns (sequence, priority) ride along."""
     have = set(df.columns)
     return df.select(*[
         (F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in schema.fields
-    ])
+    ], *extra)
 
 
 # P6

@@ -18,9 +18,13 @@ from pyspark.sql import functions as F
 from martwise.functions.columns import has_real_id
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] = ()) -> DataFrame:
-    """One row per ``keys`` (nulls compare equal), the first by ``order_by``."""
-    cols = df.columns
+def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str] = (),
+               columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per ``keys`` (nulls compare equal), the first by ``order_by``.
+
+    ``columns`` (default: all) are the columns kept; only they travel
+    through the shuffle, since the aggregate cannot be column-pruned."""
+    cols = list(columns) if columns is not None else df.columns
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     packed = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)],
                       F.struct(*[F.col(c) for c in cols]).alias("_row"))
@@ -30,9 +34,17 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | s
 
 
 def keep_first_with_id(df: DataFrame, keys: Sequence[str], id_col: str,
-                       order_by: Sequence[Column | str] = ()) -> DataFrame:
+                       order_by: Sequence[Column | str] = (),
+                       columns: Sequence[str] | None = None) -> DataFrame:
     """Q22 fix: only rows with a real (non-blank) id are deduplicated; rows
-    without one are all kept (and counted by the quality checks)."""
+    without one are all kept (and counted by the quality checks).
+
+    One aggregate, one scan: a row without a real id gets a unique extra
+    grouping value, so it forms a group of its own.  The value is never
+    output, so only its uniqueness matters."""
     real = F.coalesce(has_real_id(id_col), F.lit(False))
-    return (keep_first(df.filter(real), keys, order_by)
-            .unionByName(df.filter(~real)))
+    solo = "_solo"
+    staged = df.withColumn(solo, F.when(real, F.lit(None).cast("bigint"))
+                                  .otherwise(F.monotonically_increasing_id()))
+    cols = list(columns) if columns is not None else df.columns
+    return keep_first(staged, [*keys, solo], order_by, cols)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martwise.functions.columns import as_of_literal, count_if
-from martwise.operators.ranking import values_at_ranks
+from martwise.operators.ranking import median_from_counts
 
 DEFAULT_MIN_DATE = "2020-01-01"
 
@@ -66,42 +66,55 @@ def date_range(df: DataFrame, column: str, table_name: str, min_date: str = DEFA
 
 def amount_stats(df: DataFrame, columns: Sequence[str], table_name: str,
                  allow_negative: bool = False) -> DataFrame:
-    """DQ4 / A7 + A11: mean, exact median, sample std, negatives, > 3 sigma.
+    """DQ4 / A7 + A11 for one table: see ``amount_stats_many``."""
+    return amount_stats_many([(df, columns, table_name, allow_negative)])
 
-    Sums run on decimal(38,0) so the mean is exact and independent of the
-    summation order; the std comes from those exact sums.  The median is
-    exact from value counts (``values_at_ranks``), never a collect of the
-    column.  Outliers are a second pass with the stats joined by column name
-    (a bounded one-row-per-column side).
+
+def amount_stats_many(specs: Sequence[tuple[DataFrame, Sequence[str], str, bool]]) -> DataFrame:
+    """DQ4 / A7 + A11: mean, exact median, sample std, negatives, > 3 sigma
+    for every (table, amount column) in ``specs``, in one plan.
+
+    Each table is read once into a long (table, column, value) frame; then
+    one value histogram per (table, column) - a partial aggregate, combined
+    map-side - feeds every statistic: sums on decimal(38,0), so the mean is
+    exact and independent of the summation order; the std from those exact
+    sums; the median exactly from histogram offsets; outliers by joining
+    the histogram with its one-row-per-column stats.
     """
-    cols = [c for c in columns if c in df.columns]
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"),
-                                                  F.col(c).cast("double").alias("x"),
-                                                  F.col(c).cast("decimal(38,0)").alias("xd"))
-                                         for c in cols])).alias("_e")).select("_e.*")
-    stats = long.groupBy("column_name").agg(
-        F.count("x").alias("n"),
-        F.sum("xd").alias("s1"),
-        F.sum(F.col("xd") * F.col("xd")).alias("s2"),
-        count_if(F.col("x") < 0).alias("negative_count"))
+    longs = []
+    for df, columns, table_name, allow_negative in specs:
+        cols = [c for c in columns if c in df.columns]
+        longs.append(df.select(F.explode(F.array(*[
+            F.struct(F.lit(table_name).alias("table_name"), F.lit(c).alias("column_name"),
+                     F.lit(allow_negative).alias("allow_negative"), F.col(c).cast("double").alias("x"))
+            for c in cols])).alias("_e")).select("_e.*"))
+    long = longs[0]
+    for lf in longs[1:]:
+        long = long.unionByName(lf)
+    keys = ["table_name", "column_name", "allow_negative"]
+    hist = long.filter(F.col("x").isNotNull()).groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c"))
+    xd = F.col("x").cast("decimal(38,0)")
+    cd = F.col("c").cast("decimal(38,0)")
+    stats = hist.groupBy(*keys).agg(
+        F.sum("c").alias("n"), F.sum(xd * cd).alias("s1"), F.sum(xd * xd * cd).alias("s2"),
+        F.sum(F.when(F.col("x") < 0, F.col("c")).otherwise(F.lit(0).cast("bigint"))).alias("neg"))
     n = F.col("n").cast("double")
     s1 = F.col("s1").cast("double")
     s2 = F.col("s2").cast("double")
     stats = stats.select(
-        "column_name", "n", "negative_count",
+        *keys, F.col("n").cast("bigint").alias("n"), F.col("neg").cast("bigint").alias("neg"),
         F.when(F.col("n") > 0, s1 / n).alias("mean"),
         F.when(F.col("n") > 1, F.sqrt(F.greatest((s2 - s1 * s1 / n) / (n - 1), F.lit(0.0)))).alias("std"))
-    med = values_at_ranks(long, "x", ["column_name"])
-    outl = long.join(F.broadcast(stats.select("column_name", "mean", "std")), "column_name") \
-               .groupBy("column_name") \
-               .agg(count_if((F.col("std") > 0) & (F.abs(F.col("x") - F.col("mean")) > 3 * F.col("std")))
-                    .alias("outlier_count"))
-    return (stats.join(med, "column_name", "left").join(outl, "column_name", "left")
-                 .select(F.lit(table_name).alias("table_name"), "column_name",
-                         F.col("n").alias("value_count"), "mean", "median",
+    med = median_from_counts(hist, "x", "c", keys)
+    # the stats side has one row per (table, column): a bounded broadcast
+    outl = hist.join(F.broadcast(stats.select(*keys, "mean", "std")), keys) \
+               .groupBy(*keys) \
+               .agg(F.sum(F.when((F.col("std") > 0) & (F.abs(F.col("x") - F.col("mean")) > 3 * F.col("std")),
+                                 F.col("c")).otherwise(F.lit(0).cast("bigint"))).cast("bigint").alias("outlier_count"))
+    return (stats.join(med, keys, "left").join(outl, keys, "left")
+                 .select("table_name", "column_name", F.col("n").alias("value_count"), "mean", "median",
                          F.round("std", 2).alias("std"),
-                         (F.lit(None).cast("bigint") if allow_negative else F.col("negative_count"))
-                         .alias("negative_count"),
+                         F.when(~F.col("allow_negative"), F.col("neg")).alias("negative_count"),
                          F.coalesce("outlier_count", F.lit(0).cast("bigint")).alias("outlier_count")))
 
 

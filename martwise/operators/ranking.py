@@ -62,10 +62,11 @@ def _null_safe_on(cols: Sequence[str], suffix: str) -> Column:
     return cond
 
 
-def _cell_offsets(df: DataFrame, part: Sequence[str]) -> DataFrame:
+def _cell_offsets(df: DataFrame, part: Sequence[str], counted: bool = False) -> DataFrame:
     """Offsets per (part, _g, _v, _tb) cell: ``_start`` = rows before the
-    cell in (part) order, and ``_n`` = rows in the partition."""
-    h = df.groupBy(*part, "_g", "_v", "_tb").agg(F.count(F.lit(1)).alias("_c"))
+    cell in (part) order, and ``_n`` = rows in the partition.  With
+    ``counted``, ``df`` already holds one row per cell with its count ``_c``."""
+    h = df if counted else df.groupBy(*part, "_g", "_v", "_tb").agg(F.count(F.lit(1)).alias("_c"))
     grp = h.groupBy(*part, "_g").agg(F.sum("_c").alias("_gc"))
     w_all = Window.partitionBy(*part) if part else Window.partitionBy()
     w_run = w_all.orderBy(F.col("_g").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
@@ -119,15 +120,17 @@ def _default_tie_bucket(df: DataFrame, t: Column) -> Column:
     return text_bucket(t)
 
 
-def values_at_ranks(df: DataFrame, value: str, group_by: Sequence[str] = ()) -> DataFrame:
-    """Exact median per group from value counts (no per-row rank needed):
-    returns (group_by..., median) with median = mean of the values at ranks
-    ceil(n/2) and floor(n/2)+1 of the non-null values, as pandas/DuckDB do."""
-    v = F.col(value)
+def median_from_counts(counts: DataFrame, value: str, count: str,
+                       group_by: Sequence[str] = ()) -> DataFrame:
+    """Exact median per group from a value histogram (one row per distinct
+    non-null value with its count): the mean of the values at ranks
+    floor((n+1)/2) and floor(n/2)+1, as pandas and DuckDB compute it.  Only
+    the histogram is ranked, never the rows, and nothing is collected."""
     part = list(group_by)
-    base = df.filter(v.isNotNull()).select(*part, v.alias("_v"))
-    staged = base.withColumns({"_g": log_grid(F.col("_v")), "_tb": F.lit(0).cast("bigint")})
-    cells = _cell_offsets(staged, part)
+    cells = counts.select(*part, log_grid(F.col(value)).alias("_g"),
+                          F.col(value).alias("_v"), F.lit(0).cast("bigint").alias("_tb"),
+                          F.col(count).alias("_c"))
+    cells = _cell_offsets(cells, part, counted=True)
     lo = F.floor((F.col("_n") + 1) / 2)
     hi = F.floor(F.col("_n") / 2) + 1
     hit = lambda k: (F.col("_start") < k) & (k <= F.col("_start") + F.col("_c"))

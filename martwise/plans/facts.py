@@ -82,7 +82,8 @@ def fact_orders_from_raw(raw: DataFrame) -> DataFrame:
         "total_usd": to_double_or_zero("total_usd_text"),
         "order_key": surrogate_key("order_id", "source", "channel"),
     }).withColumn("order_date_key", date_key("order_date"))
-    deduped = keep_first_with_id(df, ["order_key"], "order_id", ["_prio", SEQ])
+    deduped = keep_first_with_id(conform(df, schemas.FACT_ORDERS, "_prio", SEQ), ["order_key"],
+                                 "order_id", ["_prio", SEQ], schemas.FACT_ORDERS.fieldNames())
     return conform(deduped, schemas.FACT_ORDERS)
 
 
@@ -162,7 +163,8 @@ def fact_payments_from_raw(raw: DataFrame, normalise_status: bool = False) -> Da
         g.alias("source"), _priority(PAYMENT_GATEWAYS).alias("_prio"), F.col(SEQ))
     df = df.withColumns({"payment_key": surrogate_key("transaction_id", "payment_gateway"),
                          "payment_date_key": date_key("payment_date")})
-    deduped = keep_first_with_id(df, ["payment_key"], "transaction_id", ["_prio", SEQ])
+    deduped = keep_first_with_id(conform(df, schemas.FACT_PAYMENTS, "_prio", SEQ), ["payment_key"],
+                                 "transaction_id", ["_prio", SEQ], schemas.FACT_PAYMENTS.fieldNames())
     return conform(deduped, schemas.FACT_PAYMENTS)
 
 
@@ -191,7 +193,8 @@ def fact_cart_events(raw: DataFrame) -> DataFrame:
                       .otherwise(surrogate_key("event_id", "session_id", F.col(f"{SEQ}.file"),
                                                F.col(f"{SEQ}.pos"))),
     }).withColumn("event_date_key", date_key("event_timestamp"))
-    deduped = keep_first_with_id(df, ["event_key"], "event_id", [SEQ])
+    deduped = keep_first_with_id(conform(df, schemas.FACT_CART_EVENTS, SEQ), ["event_key"], "event_id",
+                                 [SEQ], schemas.FACT_CART_EVENTS.fieldNames())
     return conform(deduped, schemas.FACT_CART_EVENTS)
 
 
@@ -216,5 +219,6 @@ def fact_bank_transactions(raw: DataFrame) -> DataFrame:
         "transaction_key": surrogate_key("transaction_id", "account_id"),
         "transaction_date_key": date_key("transaction_date"),
     })
-    deduped = keep_first_with_id(df, ["transaction_key"], "transaction_id", [SEQ])
+    deduped = keep_first_with_id(conform(df, schemas.FACT_BANK_TRANSACTIONS, SEQ), ["transaction_key"],
+                                 "transaction_id", [SEQ], schemas.FACT_BANK_TRANSACTIONS.fieldNames())
     return conform(deduped, schemas.FACT_BANK_TRANSACTIONS)

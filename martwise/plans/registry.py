@@ -132,14 +132,13 @@ def _range_checks(g: DriverGold) -> list[DataFrame]:
 
 
 def _amount_checks(g: DriverGold) -> list[DataFrame]:
-    return [
-        quality.amount_stats(g.fact_orders, ["total_vnd"], "fact_orders"),
-        quality.amount_stats(g.fact_order_items, ["unit_price_vnd", "line_total_vnd"], "fact_order_items"),
-        quality.amount_stats(g.fact_payments, ["amount_vnd"], "fact_payments"),
-        quality.amount_stats(g.fact_bank_transactions, ["amount_vnd"], "fact_bank_transactions",
-                             allow_negative=True),
-        quality.amount_stats(g.dim_products, ["price_vnd"], "dim_products"),
-    ]
+    return [quality.amount_stats_many([
+        (g.fact_orders, ["total_vnd"], "fact_orders", False),
+        (g.fact_order_items, ["unit_price_vnd", "line_total_vnd"], "fact_order_items", False),
+        (g.fact_payments, ["amount_vnd"], "fact_payments", False),
+        (g.fact_bank_transactions, ["amount_vnd"], "fact_bank_transactions", True),
+        (g.dim_products, ["price_vnd"], "dim_products", False),
+    ])]
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

@@ -49,7 +49,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     spark = builder.getOrCreate()
     for k, v in CORE_CONF.items():
         spark.conf.set(k, v)
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel(os.environ.get("MARTWISE_LOG_LEVEL", "ERROR"))
     checkpoint_dir(spark)
     return spark
 

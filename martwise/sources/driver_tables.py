@@ -34,7 +34,19 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_input(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin a table stored in fewer files than there are task slots.
+
+    A Parquet row group (and a gzip file) is read by one task, so a small
+    table in one file would run every later per-row step on one core.  A
+    large table has many files and is left as read: no extra shuffle."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) < slots:
+        return df.repartition(slots)
+    return df
 
 
 def _txt(c) -> Column:
