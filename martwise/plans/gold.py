@@ -1,9 +1,14 @@
-"""Gold tables built from the driver's Parquet tables.
+"""Gold tables from raw inputs.
 
-``DriverGold`` wires adapters (sources.driver_tables) to the builders.
-Every table is a lazy plan over the Parquet scans; a query only pulls the
-tables it uses, and Catalyst prunes the columns it does not need down to
-the scan.
+``GoldBase`` wires raw-record accessors to the builders; a subclass says
+where raw records come from:
+
+* ``RawJsonGold``: the gzip JSON exports (S1-S16), the production path.
+* ``DriverGold``: the driver's Parquet tables through the adapters of
+  ``sources.driver_tables`` (queries, tests, bench).
+
+Every table is a lazy plan; a query only pulls the tables it uses, and
+Catalyst prunes unused columns down to the scans.
 """
 
 from __future__ import annotations
@@ -12,9 +17,12 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
+from martwise import schemas
 from martwise.plans import dimensions, facts
 from martwise.sources import driver_tables as dt
+from martwise.sources import json_sources as js
 
 # Fixed run times for the driver data: orders end 2001-08-01, events in
 # January 2024.
@@ -24,66 +32,210 @@ EVENTS_AS_OF = "2024-01-31 00:00:00"
 # queries, so the "New" segment and an n where quintile rules differ occur.
 RFM_SKIP_MODULUS = 11
 
+GOLD_NAMES = ("dim_customers", "dim_products", "dim_locations", "dim_staff", "dim_date",
+              "fact_orders", "fact_order_items", "fact_payments", "fact_cart_events",
+              "fact_bank_transactions")
 
-class DriverGold:
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.sf_dir = sf_dir
 
-    def table(self, name: str) -> DataFrame:
-        return dt.load(self.spark, self.sf_dir, name)
+class GoldBase:
+    """Gold tables built from raw accessors (``raw_*``) a subclass provides."""
 
-    @cached_property
-    def raw_orders(self) -> DataFrame:
-        return dt.raw_orders(self.table("orders"))
+    spark: SparkSession
+
+    # raw accessors --------------------------------------------------------
+    @property
+    def raw_orders(self) -> DataFrame | None:  # tagged union of the order sources
+        raise NotImplementedError
+
+    @property
+    def raw_order_lines(self) -> DataFrame | None:  # records that carry line_items
+        return self.raw_orders
+
+    @property
+    def raw_pos_orders(self) -> DataFrame | None:  # orders that may name staff
+        return self.raw_orders
+
+    @property
+    def raw_payments(self) -> DataFrame | None:  # tagged union of the gateways
+        raise NotImplementedError
+
+    @property
+    def raw_cart_events(self) -> DataFrame | None:
+        raise NotImplementedError
+
+    @property
+    def raw_bank_transactions(self) -> DataFrame | None:
+        raise NotImplementedError
+
+    @property
+    def raw_customers(self) -> DataFrame | None:
+        raise NotImplementedError
+
+    @property
+    def raw_products(self) -> DataFrame | None:
+        raise NotImplementedError
+
+    @property
+    def raw_locations(self) -> DataFrame | None:
+        raise NotImplementedError
+
+    # gold tables ----------------------------------------------------------
+    def _or_empty(self, df: DataFrame | None, name: str) -> DataFrame:
+        return df if df is not None else self.spark.createDataFrame([], schemas.GOLD[name])
 
     @cached_property
     def fact_orders(self) -> DataFrame:
-        return facts.fact_orders_from_raw(self.raw_orders)
+        r = self.raw_orders
+        return self._or_empty(r if r is None else facts.fact_orders_from_raw(r), "fact_orders")
 
     @cached_property
     def fact_order_items(self) -> DataFrame:
-        return facts.fact_order_items_from_raw(dt.raw_order_fragments(self.table("lineitem"),
-                                                                      self.table("orders")))
+        r = self.raw_order_lines
+        return self._or_empty(r if r is None else facts.fact_order_items_from_raw(r), "fact_order_items")
 
     @cached_property
     def fact_payments(self) -> DataFrame:
-        return facts.fact_payments_from_raw(dt.raw_payments(self.table("orders")))
+        r = self.raw_payments
+        return self._or_empty(r if r is None else facts.fact_payments_from_raw(r), "fact_payments")
 
     @cached_property
     def fact_cart_events(self) -> DataFrame:
-        return facts.fact_cart_events(dt.raw_cart_events(self.table("events")))
+        r = self.raw_cart_events
+        return self._or_empty(r if r is None else facts.fact_cart_events(r), "fact_cart_events")
 
     @cached_property
     def fact_bank_transactions(self) -> DataFrame:
-        return facts.fact_bank_transactions(dt.raw_mercury_transactions(self.table("customer")))
+        r = self.raw_bank_transactions
+        return self._or_empty(r if r is None else facts.fact_bank_transactions(r), "fact_bank_transactions")
 
     @cached_property
     def dim_customers(self) -> DataFrame:
-        return dimensions.dim_customers(dt.raw_customers(self.table("customer")))
+        r = self.raw_customers
+        return self._or_empty(r if r is None else dimensions.dim_customers(r), "dim_customers")
 
     @cached_property
     def dim_products(self) -> DataFrame:
-        return dimensions.dim_products(dt.raw_products(self.table("part")))
+        r = self.raw_products
+        return self._or_empty(r if r is None else dimensions.dim_products(r), "dim_products")
 
     @cached_property
     def dim_locations(self) -> DataFrame:
-        return dimensions.dim_locations(dt.raw_locations(self.table("nation"), self.table("region")))
+        r = self.raw_locations
+        return self._or_empty(r if r is None else dimensions.dim_locations(r), "dim_locations")
 
     @cached_property
     def dim_staff(self) -> DataFrame:
-        return dimensions.dim_staff(self.raw_orders)
+        return self._or_empty(dimensions.dim_staff(self.raw_pos_orders), "dim_staff")
 
     @cached_property
     def dim_date(self) -> DataFrame:
         return dimensions.dim_date_spanning(self.fact_orders, "order_date")
 
+    def all_tables(self) -> dict[str, DataFrame]:
+        return {n: getattr(self, n) for n in GOLD_NAMES}
+
+
+class DriverGold(GoldBase):
+    """Gold tables from the driver's Parquet tables."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
+
+    def table(self, name: str) -> DataFrame:
+        return dt.load(self.spark, self.sf_dir, name)
+
+    @cached_property
+    def raw_orders(self) -> DataFrame:
+        return dt.raw_orders(self.table("orders"))
+
+    @cached_property
+    def raw_order_lines(self) -> DataFrame:
+        return dt.raw_order_fragments(self.table("lineitem"), self.table("orders"))
+
+    @cached_property
+    def raw_payments(self) -> DataFrame:
+        return dt.raw_payments(self.table("orders"))
+
+    @cached_property
+    def raw_cart_events(self) -> DataFrame:
+        return dt.raw_cart_events(self.table("events"))
+
+    @cached_property
+    def raw_bank_transactions(self) -> DataFrame:
+        return dt.raw_mercury_transactions(self.table("customer"))
+
+    @cached_property
+    def raw_customers(self) -> DataFrame:
+        return dt.raw_customers(self.table("customer"))
+
+    @cached_property
+    def raw_products(self) -> DataFrame:
+        return dt.raw_products(self.table("part"))
+
+    @cached_property
+    def raw_locations(self) -> DataFrame:
+        return dt.raw_locations(self.table("nation"), self.table("region"))
+
     @cached_property
     def rfm_orders(self) -> DataFrame:
         return self.fact_orders.filter(F.col("customer_id") % RFM_SKIP_MODULUS != 0)
 
-    def all_tables(self) -> dict[str, DataFrame]:
-        return {n: getattr(self, n) for n in (
-            "dim_customers", "dim_products", "dim_locations", "dim_staff", "dim_date",
-            "fact_orders", "fact_order_items", "fact_payments", "fact_cart_events",
-            "fact_bank_transactions")}
+
+class RawJsonGold(GoldBase):
+    """Gold tables from the gzip JSON exports under ``root`` (any Hadoop
+    path).  A missing source reads as absent, like an empty export.  With
+    ``bronze`` set, large single-file sources are landed once as Parquet
+    there and read back (H1)."""
+
+    def __init__(self, spark: SparkSession, root: str, bronze: str | None = None,
+                 land: tuple[str, ...] = ("cart_events",)):
+        self.spark = spark
+        self.root = root
+        self.bronze = bronze
+        self.land = land
+
+    def source(self, name: str) -> DataFrame | None:
+        try:
+            df = js.read_source(self.spark, self.root, name)
+        except AnalysisException as ex:
+            if "PATH_NOT_FOUND" in str(ex) or "Path does not exist" in str(ex):
+                return None
+            raise
+        if self.bronze and name in self.land:
+            df = js.land_bronze(df, f"{self.bronze.rstrip('/')}/{name}")
+        return df
+
+    @cached_property
+    def raw_orders(self) -> DataFrame | None:
+        return js.tag_union({"shopify": self.source("shopify_orders"), "sapo_pos": self.source("sapo_orders"),
+                             "online": self.source("online_orders")}, schemas.RAW_ORDER)
+
+    @cached_property
+    def raw_pos_orders(self) -> DataFrame | None:
+        return self.source("sapo_orders")
+
+    @cached_property
+    def raw_payments(self) -> DataFrame | None:
+        return js.tag_union({"paypal": self.source("paypal"), "momo": self.source("momo"),
+                             "zalopay": self.source("zalopay")}, schemas.RAW_PAYMENT_ANY)
+
+    @cached_property
+    def raw_cart_events(self) -> DataFrame | None:
+        return self.source("cart_events")
+
+    @cached_property
+    def raw_bank_transactions(self) -> DataFrame | None:
+        return self.source("mercury_transactions")
+
+    @cached_property
+    def raw_customers(self) -> DataFrame | None:
+        return self.source("customers")
+
+    @cached_property
+    def raw_products(self) -> DataFrame | None:
+        return self.source("products")
+
+    @cached_property
+    def raw_locations(self) -> DataFrame | None:
+        return self.source("locations")
