@@ -53,17 +53,22 @@ def read_json_gzip(spark: SparkSession, path: str | Sequence[str],
     (file path, ordinal of the record in its file) for keep-first dedup."""
     paths = [path] if isinstance(path, str) else list(path)
     df = _reader(spark, schema).json(paths)
-    return with_file_sequence(df)
+    return with_file_sequence(df, paths)
 
 
-def with_file_sequence(df: DataFrame) -> DataFrame:
-    """Add ``_seq`` = struct(file path, row ordinal in file).
+def with_file_sequence(df: DataFrame, paths: Sequence[str] = ()) -> DataFrame:
+    """Add ``_seq`` = struct(file, row ordinal in file).
 
-    A gzip file is one split, so ``monotonically_increasing_id`` is a
-    stable, increasing ordinal within the file (it encodes the split
-    number and the row position)."""
-    return df.withColumn(SEQ, F.struct(F.col("_metadata.file_path").alias("file"),
-                                       F.monotonically_increasing_id().alias("pos")))
+    ``file`` is the position of the file in ``paths`` (zero-padded, so
+    batch 10 sorts after batch 2) followed by its path.  A gzip file is one
+    split, so ``monotonically_increasing_id`` is a stable, increasing
+    ordinal within the file."""
+    fp = F.col("_metadata.file_path")
+    idx = F.lit(len(paths))
+    for i, p in reversed(list(enumerate(paths))):
+        idx = F.when(fp.endswith(p.split("://", 1)[-1].lstrip("/")), F.lit(i)).otherwise(idx)
+    file_key = F.concat(F.lpad(idx.cast("string"), 6, "0"), F.lit(":"), fp)
+    return df.withColumn(SEQ, F.struct(file_key.alias("file"), F.monotonically_increasing_id().alias("pos")))
 
 
 def batch_paths(root: str, pattern: str, batch_count: int) -> list[str]:
@@ -94,8 +99,10 @@ def read_source(spark: SparkSession, root: str, name: str) -> DataFrame:
 def land_bronze(df: DataFrame, path: str, partitions: int | None = None) -> DataFrame:
     """S3 / H1: write a raw source once as Parquet, spread over many files,
     and read it back: a single huge gzip file is parsed by one task once,
-    then every later step is parallel.  Replaces reading in chunks."""
-    out = df.repartition(partitions) if partitions else df.repartition()
+    then every later step is parallel.  Replaces reading in chunks.  By
+    default the rows are rebalanced, so AQE cuts them into partitions of
+    its advisory size whatever the file size was."""
+    out = df.repartition(partitions) if partitions else df.hint("rebalance")
     out.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
