@@ -48,6 +48,15 @@ def duplicate_counts(df: DataFrame, keys: Sequence[str], table_name: str) -> Dat
                           .alias("duplicate_count"))
 
 
+def blank_id_counts(df: DataFrame, id_col: str, table_name: str) -> DataFrame:
+    """Q22: rows whose natural id is null or blank (never deduplicated, so
+    reported instead): (table_name, column_name, blank_count, row_count)."""
+    blank = F.col(id_col).isNull() | (F.trim(F.col(id_col).cast("string")) == "")
+    return df.agg(F.count_if(blank).alias("blank_count"), F.count(F.lit(1)).alias("row_count")) \
+             .select(F.lit(table_name).alias("table_name"), F.lit(id_col).alias("column_name"),
+                     "blank_count", "row_count")
+
+
 def date_range(df: DataFrame, column: str, table_name: str, min_date: str = DEFAULT_MIN_DATE,
                max_date: str | None = None, as_of=None) -> DataFrame:
     """DQ3 / A10: min, max, rows outside [min_date, max_date], rows after as_of.
@@ -119,9 +128,13 @@ def amount_stats_many(specs: Sequence[tuple[DataFrame, Sequence[str], str, bool]
 
 
 def quality_report(nulls: Sequence[DataFrame] = (), dups: Sequence[DataFrame] = (),
-                   ranges: Sequence[DataFrame] = (), amounts: Sequence[DataFrame] = ()) -> DataFrame:
+                   ranges: Sequence[DataFrame] = (), amounts: Sequence[DataFrame] = (),
+                   blanks: Sequence[DataFrame] = ()) -> DataFrame:
     """DQ5: all checks as one long table (table_name, check_name, column_name, value)."""
     parts = []
+    for d in blanks:
+        parts.append(d.select("table_name", F.lit("blank_ids").alias("check_name"), "column_name",
+                              F.col("blank_count").cast("double").alias("value")))
     for d in nulls:
         parts.append(d.select("table_name", F.lit("nulls").alias("check_name"), "column_name",
                               F.col("null_count").cast("double").alias("value")))

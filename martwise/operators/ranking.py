@@ -25,9 +25,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Grid resolution of the default coarse group: 256 groups per doubling of
-# |v|, so the group table is bounded (< 2 * 64 * 256 rows) whatever the data.
-LOG_STEPS_PER_OCTAVE = 256
+# Grid resolution of the default coarse group: 2048 groups per doubling of
+# |v|, so the group table is bounded (< 2 * 64 * 2048 rows, a few MB)
+# whatever the data, while a band of nearby values stays narrow.
+LOG_STEPS_PER_OCTAVE = 2048
 # Ids per tie bucket for integral tie-break columns.
 ID_BUCKET_WIDTH = 4096
 # Leading characters that form the tie bucket of a text tie-break column.

@@ -81,7 +81,10 @@ def quality_checks(t: dict[str, DataFrame], as_of=None) -> DataFrame:
         (t["fact_payments"], ["amount_vnd"], "fact_payments", False),
         (t["fact_bank_transactions"], ["amount_vnd", "amount_usd"], "fact_bank_transactions", True),
         (t["dim_products"], ["price_vnd", "price_usd"], "dim_products", False)])]
-    return quality.quality_report(nulls, dups, ranges, amounts)
+    blanks = [quality.blank_id_counts(t[n], c, n) for n, c in (
+        ("fact_orders", "order_id"), ("fact_payments", "transaction_id"), ("fact_cart_events", "event_id"),
+        ("fact_bank_transactions", "transaction_id"))]
+    return quality.quality_report(nulls, dups, ranges, amounts, blanks)
 
 
 def run_summary(spark: SparkSession, counts: dict[str, int], report: DataFrame | None = None) -> DataFrame:

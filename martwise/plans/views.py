@@ -11,7 +11,23 @@ from martwise.functions.columns import (
 )
 from martwise.operators.ranking import exact_rank
 
-HOUR_MICROS = 3_600_000_000
+MINUTE_MICROS = 60_000_000
+# Salt range for rows whose join key is null: they cannot match, so they
+# are spread over this many hash buckets instead of all hashing to one.
+NULL_KEY_SPREAD = 4096
+
+
+def left_join_spread_nulls(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left equi-join on ``key`` where left rows with a null key (which
+    never match) are spread over many tasks: the join runs on (key, salt);
+    the salt is 0 for real keys and on the right, and a hash of the row
+    for null keys."""
+    salt = "_null_salt"
+    lrow = F.xxhash64(*[F.col(c) for c in left.columns])
+    l2 = left.withColumn(salt, F.when(F.col(key).isNull(), F.pmod(lrow, F.lit(NULL_KEY_SPREAD)))
+                               .otherwise(F.lit(0).cast("bigint")))
+    r2 = right.withColumn(salt, F.lit(0).cast("bigint"))
+    return l2.join(r2, [key, salt], "left").drop(salt)
 
 
 def customer_journey(fact_cart_events: DataFrame, dim_customers: DataFrame,
@@ -20,7 +36,7 @@ def customer_journey(fact_cart_events: DataFrame, dim_customers: DataFrame,
     the customer's first event (W2), and purchase totals (A2).
 
     W1 is ``row_number() over (partition by customer order by time)``;
-    ``exact_rank`` computes it from per-(customer, hour) counts, so one
+    ``exact_rank`` computes it from per-(customer, minute) counts, so one
     very active customer is numbered by many tasks, not one.  Ties in time
     are broken by event_key.  W2 is a per-customer min (a partial
     aggregate) joined back, sharing the customer_id shuffle of the joins.
@@ -30,7 +46,7 @@ def customer_journey(fact_cart_events: DataFrame, dim_customers: DataFrame,
         F.col("source").alias("traffic_source"), "device", "utm_source", "utm_campaign", "event_key")
     micros = F.unix_micros(F.col("event_timestamp").cast("timestamp"))
     ranked = exact_rank(ev, micros, F.col("event_key"), partition_by=["customer_id"],
-                        rank_col="touchpoint_sequence", coarse=F.floor(micros / HOUR_MICROS))
+                        rank_col="touchpoint_sequence", coarse=F.floor(micros / MINUTE_MICROS))
     first_event = ev.groupBy("customer_id").agg(F.min("event_timestamp").alias("_first_event"))
     purchases = (fact_orders.filter(F.col("customer_id").isNotNull())
                  .groupBy("customer_id")
@@ -106,7 +122,7 @@ def payment_status(fact_orders: DataFrame, dim_customers: DataFrame, fact_paymen
     The payment join is many-to-many on transaction_id (kept, Q12), but a
     blank id is no id: such orders get a unique never-matching key, so they
     spread over all tasks instead of piling on one, and blank payment ids
-    never fan out."""
+    never fan out.  Orders without a customer are spread the same way."""
     now = as_of_literal(as_of)
     o = fact_orders.withColumn(
         "_tid", F.coalesce(blank_to_null(F.col("transaction_id")),
@@ -116,7 +132,7 @@ def payment_status(fact_orders: DataFrame, dim_customers: DataFrame, fact_paymen
         F.col("payment_status").alias("gateway_payment_status"), F.col("amount_vnd").alias("paid_amount_vnd"))
     c = dim_customers.select("customer_id", F.col("full_name").alias("customer_name"),
                              F.col("email").alias("customer_email"))
-    j = o.join(c, "customer_id", "left").join(p, "_tid", "left")
+    j = left_join_spread_nulls(o, c, "customer_id").join(p, "_tid", "left")
     age = whole_days(F.col("order_date"), now)
     unpaid = F.col("payment_date").isNull()
     st = F.col("gateway_payment_status")
