@@ -125,19 +125,32 @@ def median_from_counts(counts: DataFrame, value: str, count: str,
                        group_by: Sequence[str] = ()) -> DataFrame:
     """Exact median per group from a value histogram (one row per distinct
     non-null value with its count): the mean of the values at ranks
-    floor((n+1)/2) and floor(n/2)+1, as pandas and DuckDB compute it.  Only
-    the histogram is ranked, never the rows, and nothing is collected."""
+    floor((n+1)/2) and floor(n/2)+1, as pandas and DuckDB compute it.
+
+    Two levels, nothing collected: band counts on the log grid (a table
+    bounded by the grid) locate the one or two bands holding the middle
+    ranks; only the histogram rows of those bands are then ordered.  The
+    located bands are at most two rows per group, so broadcasting them is
+    bounded by the number of groups."""
     part = list(group_by)
-    cells = counts.select(*part, log_grid(F.col(value)).alias("_g"),
-                          F.col(value).alias("_v"), F.lit(0).cast("bigint").alias("_tb"),
-                          F.col(count).alias("_c"))
-    cells = _cell_offsets(cells, part, counted=True)
+    c = counts.select(*part, F.col(value).alias("_v"), F.col(count).alias("_c"),
+                      log_grid(F.col(value)).alias("_g"))
+    bands = c.groupBy(*part, "_g").agg(F.sum("_c").alias("_bc"))
+    w_all = Window.partitionBy(*part) if part else Window.partitionBy()
+    w_run = w_all.orderBy("_g").rowsBetween(Window.unboundedPreceding, 0)
+    bands = bands.select(*part, "_g", "_bc", (F.sum("_bc").over(w_run) - F.col("_bc")).alias("_boff"),
+                         F.sum("_bc").over(w_all.rowsBetween(Window.unboundedPreceding,
+                                                             Window.unboundedFollowing)).alias("_n"))
     lo = F.floor((F.col("_n") + 1) / 2)
     hi = F.floor(F.col("_n") / 2) + 1
-    hit = lambda k: (F.col("_start") < k) & (k <= F.col("_start") + F.col("_c"))
-    picked = cells.select(*part,
-                          F.when(hit(lo), F.col("_v").cast("double")).alias("_lo"),
-                          F.when(hit(hi), F.col("_v").cast("double")).alias("_hi"))
+    inside = lambda k, start, size: (F.col(start) < k) & (k <= F.col(start) + F.col(size))
+    hit = bands.filter(inside(lo, "_boff", "_bc") | inside(hi, "_boff", "_bc")).drop("_bc")
+    sel = c.join(F.broadcast(hit), [*part, "_g"])
+    w_in = Window.partitionBy(*part, "_g").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    sel = sel.withColumn("_start", F.col("_boff") + F.sum("_c").over(w_in) - F.col("_c"))
+    picked = sel.select(*part,
+                        F.when(inside(lo, "_start", "_c"), F.col("_v").cast("double")).alias("_lo"),
+                        F.when(inside(hi, "_start", "_c"), F.col("_v").cast("double")).alias("_hi"))
     return picked.groupBy(*part).agg(((F.max("_lo") + F.max("_hi")) / F.lit(2.0)).alias("median"))
 
 

@@ -104,7 +104,10 @@ def fact_order_items_from_raw(raw: DataFrame, dedup_items: bool = False) -> Data
     orders = raw.select(h["order_id"].alias("order_id"), h["transaction_id"].alias("transaction_id"),
                         h["order_date_text"].alias("order_date_text"), h["source"].alias("source"),
                         h["channel"].alias("channel"), F.col(SEQ),
-                        F.posexplode("line_items").alias("_pos", "item"))  # FL5: null / empty drop
+                        F.posexplode_outer("line_items").alias("_pos", "item"))
+    # FL5: null / empty arrays and null items drop.  The outer form plus a
+    # filter keeps Catalyst from inferring size(line_items) > 0 and copying
+    # the array expression into an upstream join condition.
     items = orders.filter(F.col("item").isNotNull())
     it = lambda f: F.col(f"item.{f}")
     qty = to_long_or_zero(F.coalesce(it("quantity"), F.lit("1")))

@@ -38,14 +38,16 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin a table stored in fewer files than there are task slots.
+    """Spread a table stored in fewer files than there are task slots.
 
     A Parquet row group (and a gzip file) is read by one task, so a small
     table in one file would run every later per-row step on one core.  A
-    large table has many files and is left as read: no extra shuffle."""
+    large table has many files and is left as read: no extra shuffle.
+    Hash partitioning on all columns is deterministic on retry without the
+    sort a round-robin repartition needs for that."""
     slots = df.sparkSession.sparkContext.defaultParallelism
     if len(df.inputFiles()) < slots:
-        return df.repartition(slots)
+        return df.repartition(slots, *[F.col(c) for c in df.columns])
     return df
 
 
@@ -130,14 +132,27 @@ def _staff(k: Column) -> dict[str, Column]:
 
 def _by_tag(branches: list[tuple[Column, str, dict[str, Column]]], schema) -> list[Column]:
     """One column per schema field, each a CASE over the branches: a single
-    pass over the input emits records of several source shapes."""
+    pass over the input emits records of several source shapes.  A field
+    that several branches compute the same way is emitted once (under the
+    OR of their conditions, or bare when all branches share it), which
+    keeps the generated code small."""
     cols = []
     for f in schema.fields:
-        expr = None
+        groups: dict[str, tuple[Column, Column]] = {}
         for cond, _, fields in branches:
             if f.name in fields:
-                expr = F.when(cond, fields[f.name]) if expr is None else expr.when(cond, fields[f.name])
-        cols.append((expr if expr is not None else F.lit(None)).cast(f.dataType).alias(f.name))
+                k = str(fields[f.name])
+                c0, e0 = groups.get(k, (None, fields[f.name]))
+                groups[k] = (cond if c0 is None else (c0 | cond), e0)
+        if not groups:
+            expr = F.lit(None)
+        elif len(groups) == 1 and sum(f.name in b[2] for b in branches) == len(branches):
+            expr = next(iter(groups.values()))[1]
+        else:
+            expr = None
+            for cond, e in groups.values():
+                expr = F.when(cond, e) if expr is None else expr.when(cond, e)
+        cols.append(expr.cast(f.dataType).alias(f.name))
     tag = None
     for cond, name, _ in branches:
         tag = F.when(cond, F.lit(name)) if tag is None else tag.when(cond, F.lit(name))
