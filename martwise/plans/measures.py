@@ -35,6 +35,17 @@ def sales(fact_orders: DataFrame) -> DataFrame:
         "completed_orders")
 
 
+def items_revenue(fact_order_items: DataFrame) -> DataFrame:
+    """M1, the notes' alternative: revenue as price x quantity over items,
+    next to the stated line totals."""
+    return fact_order_items.agg(
+        F.coalesce(F.sum(_dec("unit_price_vnd") * _dec("quantity")), F.lit(0).cast("decimal(38,0)"))
+         .cast("decimal(38,0)").alias("items_revenue_vnd"),
+        F.coalesce(F.sum(_dec("line_total_vnd")), F.lit(0).cast("decimal(38,0)"))
+         .cast("decimal(38,0)").alias("line_total_revenue_vnd"),
+        F.count(F.lit(1)).alias("item_count"))
+
+
 def payments(fact_payments: DataFrame) -> DataFrame:
     """M6-M9: amount, successes, success rate, refunds."""
     ok = F.col("payment_status") == "success"

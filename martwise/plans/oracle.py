@@ -454,6 +454,11 @@ SELECT CAST(COALESCE(SUM(total_vnd), 0) AS DECIMAL(38,0)) AS total_revenue_vnd,
   COUNT(DISTINCT CASE WHEN status = 'completed' THEN order_id END) AS completed_orders
 FROM fact_orders"""
 
+SQL["measure_items_revenue"] = with_ctes("fact_order_items") + """
+SELECT CAST(COALESCE(SUM(CAST(unit_price_vnd AS HUGEINT) * quantity), 0) AS DECIMAL(38,0)) AS items_revenue_vnd,
+  CAST(COALESCE(SUM(line_total_vnd), 0) AS DECIMAL(38,0)) AS line_total_revenue_vnd, COUNT(*) AS item_count
+FROM fact_order_items"""
+
 SQL["measure_payments"] = with_ctes("fact_payments") + """
 SELECT CAST(COALESCE(SUM(amount_vnd), 0) AS DECIMAL(38,0)) AS total_payment_vnd,
   count_if(payment_status = 'success') AS successful_transactions, COUNT(*) AS transaction_count,

@@ -199,6 +199,10 @@ def measure_sales(spark, sf_dir):
     return measures.sales(_g(spark, sf_dir).fact_orders)
 
 
+def measure_items_revenue(spark, sf_dir):
+    return measures.items_revenue(_g(spark, sf_dir).fact_order_items)
+
+
 def measure_payments(spark, sf_dir):
     return measures.payments(_g(spark, sf_dir).fact_payments)
 
@@ -248,6 +252,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_report": quality_report,
     "table_row_counts": table_row_counts,
     "measure_sales": measure_sales,
+    "measure_items_revenue": measure_items_revenue,
     "measure_payments": measure_payments,
     "measure_journey": measure_journey,
     "revenue_ytd": revenue_ytd,
