@@ -141,9 +141,15 @@ class DriverGold(GoldBase):
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return dt.load(self.spark, self.sf_dir, name)
+        """Each driver table is read once per instance, so every gold table
+        built from it shares one scan node (and Spark can reuse its
+        exchanges within a query)."""
+        if name not in self._tables:
+            self._tables[name] = dt.load(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     @cached_property
     def raw_orders(self) -> DataFrame:
