@@ -65,8 +65,9 @@ def _iso_plus7(ts: Column) -> Column:
 
 
 def _vnd(usd: Column) -> Column:
-    """trunc(usd * rate): the cast truncates toward zero."""
-    return (usd * F.lit(USD_TO_VND_RATE)).cast("bigint")
+    """trunc(usd * rate): the cast truncates toward zero; an amount beyond
+    the bigint range gives null instead of failing the job (ANSI)."""
+    return (usd * F.lit(USD_TO_VND_RATE)).try_cast("bigint")
 
 
 def _seq(table: str, pos: Column) -> Column:
@@ -181,8 +182,8 @@ def raw_order_fragments(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     h = _order_header(k)
     ext_vnd = F.col("l_extendedprice") * F.lit(USD_TO_VND_RATE)
-    unit = _txt((ext_vnd / F.col("l_quantity")).cast("bigint"))
-    total = F.when(F.col("l_linenumber") % 2 == 0, _txt(ext_vnd.cast("bigint")))
+    unit = _txt(F.try_divide(ext_vnd, F.col("l_quantity")).try_cast("bigint"))
+    total = F.when(F.col("l_linenumber") % 2 == 0, _txt(ext_vnd.try_cast("bigint")))
     qty = _txt("l_quantity")  # "23.0": integer coercion goes through double
     pid = _txt("l_partkey")
     name = F.concat(F.lit("part-"), pid)
@@ -210,7 +211,7 @@ def raw_payments(orders: DataFrame) -> DataFrame:
     paid = orders.filter(k % 4 != 0)
     tid = F.when(k % 97 == 5, F.lit("")).otherwise(_txt(k))
     pay_ts = F.col("o_orderdate") + F.make_interval(hours=(k % 72).cast("int"))
-    amount = _txt(F.when(k % 5 == 0, (F.col("o_totalprice") * F.lit(USD_TO_VND_RATE // 2)).cast("bigint"))
+    amount = _txt(F.when(k % 5 == 0, (F.col("o_totalprice") * F.lit(USD_TO_VND_RATE // 2)).try_cast("bigint"))
                    .otherwise(_vnd(F.col("o_totalprice"))))
     paypal = {
         "transaction_id": tid, "order_id": _txt(k), "customer_id": _txt("o_custkey"),
@@ -263,7 +264,7 @@ def raw_mercury_transactions(customer: DataFrame) -> DataFrame:
         F.concat(F.lit("acct-"), _txt(c % 3)).alias("accountId"),
         _txt(bal).alias("amount"),
         F.when(c % 2 == 0, _txt(bal)).alias("amount_usd"),
-        F.when(c % 2 == 0, F.lit("0")).otherwise(_txt((F.abs(bal) * F.lit(USD_TO_VND_RATE)).cast("bigint")))
+        F.when(c % 2 == 0, F.lit("0")).otherwise(_txt((F.abs(bal) * F.lit(USD_TO_VND_RATE)).try_cast("bigint")))
          .alias("amount_vnd"),
         F.when(bal < 0, "outgoing").otherwise("incoming").alias("kind"),
         F.when(c % 3 == 0, "posted").when(c % 3 == 1, "pending").otherwise("failed").alias("status"),
