@@ -109,3 +109,22 @@ def test_measure_sales_approx_customers(spark):
     exact = measures.sales(orders).first()
     approx = measures.sales(orders, approx_customers=True).first()
     assert exact["distinct_customers"] == 50 and abs(approx["distinct_customers"] - 50) <= 2
+
+
+def test_views_on_gold_push_filters_to_scan(spark, tmp_dir):
+    import datetime as dt
+    from martwise.plans import views
+    orders = spark.createDataFrame(
+        [("k1", dt.datetime(2025, 1, 1), "completed", 10), ("k2", dt.datetime(2025, 1, 2), "cancelled", 20)],
+        "order_key string, order_date timestamp_ntz, status string, total_vnd long")
+    sinks.write_table(orders, f"{tmp_dir}/fo", partition_field="order_date")
+    fo = spark.read.parquet(f"{tmp_dir}/fo")
+    pays = spark.createDataFrame([(dt.datetime(2025, 1, 1), "success", 5)],
+                                 "payment_date timestamp_ntz, payment_status string, amount_vnd long")
+    bank = spark.createDataFrame([(dt.datetime(2025, 1, 1), "posted", 1, 0.0)],
+                                 "transaction_date timestamp_ntz, status string, amount_vnd long, amount_usd double")
+    plan = views.cashflow_daily(fo, pays, bank)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Not(In(status, [cancelled,refunded]))]" in plan
+    pruned = sinks.read_table(spark, f"{tmp_dir}/fo", "2025-01-02", "2025-01-02", "order_date")
+    assert "PartitionFilters: [isnotnull(order_date_day" in pruned._jdf.queryExecution().executedPlan().toString()
+    assert pruned.count() == 1
