@@ -127,11 +127,41 @@ def amount_stats_many(specs: Sequence[tuple[DataFrame, Sequence[str], str, bool]
                          F.coalesce("outlier_count", F.lit(0).cast("bigint")).alias("outlier_count")))
 
 
+def table_profile(df: DataFrame, table_name: str, null_columns: Sequence[str] = (),
+                  date_column: str | None = None, as_of=None, min_date: str = DEFAULT_MIN_DATE,
+                  blank_id_column: str | None = None) -> DataFrame:
+    """DQ1 + DQ3 + the Q22 blank-id count of one table in a single aggregate
+    pass, already in the long report form (table_name, check_name,
+    column_name, value): one scan per table instead of one per check."""
+    aggs, names = [], []
+    for c in [c for c in null_columns if c in df.columns]:
+        aggs.append(F.count_if(F.col(c).isNull()).cast("double"))
+        names.append(("nulls", c))
+    if date_column and date_column in df.columns:
+        now = as_of_literal(as_of)
+        d = F.col(date_column).cast("timestamp_ntz")
+        hi = F.date_add(F.to_date(now), 1).cast("timestamp_ntz")
+        aggs.append(F.count_if((d < F.lit(min_date).cast("timestamp_ntz")) | (d > hi)).cast("double"))
+        names.append(("out_of_range_count", date_column))
+        aggs.append(F.count_if(d > now).cast("double"))
+        names.append(("future_count", date_column))
+    if blank_id_column and blank_id_column in df.columns:
+        b = F.col(blank_id_column)
+        aggs.append(F.count_if(b.isNull() | (F.trim(b.cast("string")) == "")).cast("double"))
+        names.append(("blank_ids", blank_id_column))
+    row = df.agg(*[a.alias(f"_m{i}") for i, a in enumerate(aggs)])
+    arr = F.array(*[F.struct(F.lit(chk).alias("check_name"), F.lit(col).alias("column_name"),
+                             F.col(f"_m{i}").alias("value")) for i, (chk, col) in enumerate(names)])
+    return row.select(F.explode(arr).alias("_e")).select(F.lit(table_name).alias("table_name"), "_e.check_name",
+                                                         "_e.column_name", "_e.value")
+
+
 def quality_report(nulls: Sequence[DataFrame] = (), dups: Sequence[DataFrame] = (),
                    ranges: Sequence[DataFrame] = (), amounts: Sequence[DataFrame] = (),
-                   blanks: Sequence[DataFrame] = ()) -> DataFrame:
-    """DQ5: all checks as one long table (table_name, check_name, column_name, value)."""
-    parts = []
+                   blanks: Sequence[DataFrame] = (), profiles: Sequence[DataFrame] = ()) -> DataFrame:
+    """DQ5: all checks as one long table (table_name, check_name, column_name, value).
+    ``profiles`` are ``table_profile`` frames, already in that form."""
+    parts = list(profiles)
     for d in blanks:
         parts.append(d.select("table_name", F.lit("blank_ids").alias("check_name"), "column_name",
                               F.col("blank_count").cast("double").alias("value")))

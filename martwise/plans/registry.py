@@ -169,9 +169,32 @@ def dq_amounts(spark, sf_dir):
     return _union(_amount_checks(_g(spark, sf_dir)))
 
 
+NULL_COLUMNS = {
+    "fact_orders": ["order_id", "customer_id", "total_vnd"],
+    "fact_order_items": ["order_key", "product_id"],
+    "fact_payments": ["transaction_id", "amount_vnd"],
+    "fact_cart_events": ["event_id", "event_type", "session_id"],
+    "fact_bank_transactions": ["transaction_id", "account_id", "amount_vnd"],
+    "dim_customers": ["customer_id", "email"],
+    "dim_products": ["product_id", "product_name", "sku"],
+    "dim_locations": ["location_id", "location_name"],
+}
+DATE_COLUMNS = {
+    "fact_orders": ("order_date", ORDERS_AS_OF), "fact_payments": ("payment_date", ORDERS_AS_OF),
+    "fact_cart_events": ("event_timestamp", EVENTS_AS_OF),
+    "fact_bank_transactions": ("transaction_date", ORDERS_AS_OF), "dim_customers": ("created_at", ORDERS_AS_OF),
+}
+
+
 def quality_report(spark, sf_dir):
+    """DQ5: null and date-range checks of a table in one profile pass each,
+    plus the duplicate and amount checks."""
     g = _g(spark, sf_dir)
-    return quality.quality_report(_null_checks(g), _dup_checks(g), _range_checks(g), _amount_checks(g))
+    profiles = []
+    for name, cols in NULL_COLUMNS.items():
+        date_col, as_of = DATE_COLUMNS.get(name, (None, None))
+        profiles.append(quality.table_profile(getattr(g, name), name, cols, date_col, as_of))
+    return quality.quality_report(dups=_dup_checks(g), amounts=_amount_checks(g), profiles=profiles)
 
 
 def surrogate_keys(spark, sf_dir):
