@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 
 from martwise import schemas
 from martwise.functions.columns import (
-    blank_to_null, code_status, conform, date_key, line_total, parse_utc_timestamp,
-    surrogate_key, to_double_or_zero, to_long_or_zero, to_nullable_long, usd_to_vnd_fill,
-    zalopay_method,
+    blank_to_null, code_status, conform, date_key, line_total, parse_utc_timestamp, rename_existing,
+    standardize_columns, surrogate_key, to_double_or_zero, to_long_or_zero, to_nullable_long,
+    usd_to_vnd_fill, zalopay_method,
 )
 from martwise.operators.dedup import keep_first, keep_first_with_id
-from martwise.sources.json_sources import SEQ, TAG, tag_union
+from martwise.sources.json_sources import SEQ, SEQ_TYPE, TAG, conform_raw, tag_union
 
 ORDER_SOURCES = ("shopify", "sapo_pos", "online")
 PAYMENT_GATEWAYS = ("paypal", "momo", "zalopay")
@@ -178,7 +178,6 @@ def fact_cart_events(raw: DataFrame) -> DataFrame:
     one micro-batch of the stream).  Q3 fix: the key is (event_id,
     session_id) so duplicate events are really removed; records without an
     event id keep their file position in the key and are never merged."""
-    from martwise.functions.columns import rename_existing, standardize_columns
     df = rename_existing(standardize_columns(raw), {"timestamp": "event_timestamp_text"})
     if "event_timestamp_text" not in df.columns and "event_timestamp" in df.columns:
         df = df.withColumnRenamed("event_timestamp", "event_timestamp_text")
@@ -186,7 +185,7 @@ def fact_cart_events(raw: DataFrame) -> DataFrame:
     have = set(df.columns)
     df = df.select(*[(F.col(c).cast("string") if c in have else F.lit(None).cast("string")).alias(c)
                      for c in fields + ["event_timestamp_text"]],
-                   (F.col(SEQ) if SEQ in have else F.lit(None).cast("struct<file:string,pos:bigint>")).alias(SEQ))
+                   (F.col(SEQ) if SEQ in have else F.lit(None).cast(SEQ_TYPE)).alias(SEQ))
     real = blank_to_null(F.col("event_id")).isNotNull()
     df = df.withColumns({
         "event_timestamp": parse_utc_timestamp("event_timestamp_text"),
@@ -205,6 +204,7 @@ def fact_cart_events(raw: DataFrame) -> DataFrame:
 
 def fact_bank_transactions(raw: DataFrame) -> DataFrame:
     """B11 + P15 P16 P22: USD fills VND at the fixed rate when VND is 0."""
+    raw = conform_raw(raw, schemas.RAW_MERCURY_TXN)  # absent fields read as null
     df = raw.select(
         F.coalesce(F.col("transaction_id"), F.lit("")).alias("transaction_id"),
         F.coalesce(F.col("accountId"), F.lit("")).alias("account_id"),
@@ -216,7 +216,7 @@ def fact_bank_transactions(raw: DataFrame) -> DataFrame:
         F.coalesce(F.col("details.counterpartyName"), F.lit("")).alias("counterparty"),
         parse_utc_timestamp(F.coalesce(F.col("createdAt"), F.col("postedAt"))).alias("transaction_date"),
         F.coalesce(F.col("source"), F.lit("mercury_bank")).alias("source"),
-        (F.col(SEQ) if SEQ in raw.columns else F.lit(None).cast("struct<file:string,pos:bigint>")).alias(SEQ))
+        (F.col(SEQ) if SEQ in raw.columns else F.lit(None).cast(SEQ_TYPE)).alias(SEQ))
     df = df.withColumns({
         "amount_vnd": usd_to_vnd_fill("_vnd", "amount_usd"),
         "transaction_key": surrogate_key("transaction_id", "account_id"),
