@@ -134,6 +134,19 @@ class GoldBase:
     def all_tables(self) -> dict[str, DataFrame]:
         return {n: getattr(self, n) for n in GOLD_NAMES}
 
+    def raw_for(self, name: str) -> DataFrame | None:
+        """The raw frame a gold table is built from: empty when the table is
+        (a cheap emptiness probe for the sinks, K2).  Only dim_staff can be
+        empty with a non-empty input (no order names a staff member); it is
+        then written empty rather than skipped."""
+        return {
+            "fact_orders": self.raw_orders, "fact_order_items": self.raw_order_lines,
+            "fact_payments": self.raw_payments, "fact_cart_events": self.raw_cart_events,
+            "fact_bank_transactions": self.raw_bank_transactions, "dim_customers": self.raw_customers,
+            "dim_products": self.raw_products, "dim_locations": self.raw_locations,
+            "dim_staff": self.raw_pos_orders, "dim_date": self.raw_orders,
+        }[name]
+
 
 class DriverGold(GoldBase):
     """Gold tables from the driver's Parquet tables."""

@@ -29,8 +29,12 @@ def write_gold(gold: GoldBase, out_root: str, names=GOLD_NAMES) -> dict[str, int
     counts = {}
     for name in names:
         field, cluster = LAYOUT.get(name, (None, ()))
+        raw = gold.raw_for(name)
+        if raw is None:  # the source is absent: nothing to write, old table kept (K2)
+            counts[name] = 0
+            continue
         counts[name] = sinks.write_table(getattr(gold, name), _path(out_root, name), "WRITE_TRUNCATE",
-                                         field, cluster)
+                                         field, cluster, empty_probe=raw)
     return counts
 
 
@@ -105,7 +109,8 @@ def run_full_pipeline(gold: GoldBase, out_root: str, as_of=None) -> DataFrame:
     if counts.get("fact_orders", 0) > 0:
         updated = rfm.update_customer_aggregates(t["dim_customers"], t["fact_orders"], as_of=as_of)
         field, cluster = LAYOUT["dim_customers"]
-        counts["dim_customers"] = sinks.replace_table(updated, _path(out_root, "dim_customers"), field, cluster)
+        counts["dim_customers"] = sinks.replace_table(updated, _path(out_root, "dim_customers"), field, cluster,
+                                                      empty_probe=t["dim_customers"])
         t = read_gold(spark, out_root)
     sinks.create_views(gold_views(t, as_of))
     return run_summary(spark, counts, quality_checks(t, as_of))

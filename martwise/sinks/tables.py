@@ -26,10 +26,15 @@ def day_column(field: str) -> str:
 
 def write_table(df: DataFrame, path: str, write_disposition: str = "WRITE_TRUNCATE",
                 partition_field: str | None = None,
-                clustering_fields: Sequence[str] | None = None) -> int:
+                clustering_fields: Sequence[str] | None = None,
+                empty_probe: DataFrame | None = None) -> int:
     """K1 + K2 + K3: write ``df`` to ``path``; returns the rows written.
 
-    * Empty input: nothing is written, the old target stays, 0 (K2).
+    * Empty input: nothing is written, the old target stays, 0 (K2).  The
+      emptiness test is a one-row job; on a plan with a shuffle it would
+      run the plan up to that shuffle once more, so callers pass
+      ``empty_probe``, a cheap frame that is empty exactly when ``df`` is
+      (e.g. the raw scan a gold table is built from: reading one row).
     * ``partition_field``: partitioned by ``<field>_day = to_date(field)``.
       Rows are *rebalanced* on the day (AQE splits a day holding a large
       share of the rows over several tasks instead of one) and sorted by
@@ -41,7 +46,7 @@ def write_table(df: DataFrame, path: str, write_disposition: str = "WRITE_TRUNCA
     second pass over the data.
     """
     mode = WRITE_MODES.get(write_disposition, write_disposition)
-    if df.isEmpty():
+    if (empty_probe if empty_probe is not None else df).isEmpty():
         log.warning("empty input for %s: skipped", path)
         return 0
     cluster = [c for c in (clustering_fields or []) if c in df.columns]
@@ -85,10 +90,11 @@ def create_database_if_not_exists(spark: SparkSession, name: str, location: str
 
 
 def save_as_table(df: DataFrame, table: str, write_disposition: str = "WRITE_TRUNCATE",
-                  partition_field: str | None = None) -> int:
+                  partition_field: str | None = None, empty_probe: DataFrame | None = None) -> int:
     """K1/K3 against the catalog: on overwrite the table is dropped first,
-    so a changed layout never conflicts with the old one."""
-    if df.isEmpty():
+    so a changed layout never conflicts with the old one.  ``empty_probe``
+    as in ``write_table``."""
+    if (empty_probe if empty_probe is not None else df).isEmpty():
         return 0
     spark = df.sparkSession
     mode = WRITE_MODES.get(write_disposition, write_disposition)
@@ -142,7 +148,8 @@ def table_info(spark: SparkSession, path: str, name: str | None = None) -> DataF
 
 
 def replace_table(df: DataFrame, path: str, partition_field: str | None = None,
-                  clustering_fields: Sequence[str] | None = None, staging_root: str | None = None) -> int:
+                  clustering_fields: Sequence[str] | None = None, staging_root: str | None = None,
+                  empty_probe: DataFrame | None = None) -> int:
     """K8 / H8: overwrite a table with a frame that reads that same table.
 
     Spark cannot overwrite a path it is reading (the old files are deleted
@@ -150,7 +157,7 @@ def replace_table(df: DataFrame, path: str, partition_field: str | None = None,
     path in the same shared storage, then copied over the target by a
     second job that reads only the staging copy."""
     staging = f"{staging_root or path.rstrip('/') + '__staging'}/{uuid.uuid4().hex}"
-    n = write_table(df, staging, "WRITE_TRUNCATE", partition_field, clustering_fields)
+    n = write_table(df, staging, "WRITE_TRUNCATE", partition_field, clustering_fields, empty_probe)
     if n == 0:
         return 0
     staged = df.sparkSession.read.parquet(staging)

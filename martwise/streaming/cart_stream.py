@@ -49,7 +49,7 @@ def _batch_writer(target_path: str):
         # idempotent per batch id: a re-run batch overwrites its own slice only
         write_table(fact_cart_events(staged),
                     f"{target_path.rstrip('/')}/ingest_batch={batch_id}", "WRITE_TRUNCATE",
-                    "event_timestamp", ("customer_id", "session_id", "event_type"))
+                    "event_timestamp", ("customer_id", "session_id", "event_type"), empty_probe=batch)
     return write
 
 
