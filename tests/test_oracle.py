@@ -37,4 +37,5 @@ def test_entry_smoke(spark):
 def test_plan_has_no_python_and_prunes(spark, name):
     plan = entry.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "PythonUDF" not in plan
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan  # no cross joins
     assert "ReadSchema" in plan or "FileScan" in plan
