@@ -54,18 +54,24 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession, required: bool = False) -> str | None:
     """Return the shared checkpoint folder, setting one only if none is set.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; that one
-    always wins.  Only local runs (tests, bench) fall back to a fresh
-    scratch folder.
+    always wins.  Only a local master (tests, bench) falls back to a fresh
+    scratch folder: on a cluster a machine-local folder would not survive
+    a lost executor, so there it stays unset (an error if ``required``).
     """
-    current = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            if required:
+                raise RuntimeError("set spark.checkpoint.dir to a folder in shared storage")
+            return None
         configured = tempfile.mkdtemp(prefix="martwise-ckpt-", dir=os.environ.get("MARTWISE_SCRATCH", "/tmp"))
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir() or configured
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
