@@ -128,3 +128,16 @@ def test_views_on_gold_push_filters_to_scan(spark, tmp_dir):
     pruned = sinks.read_table(spark, f"{tmp_dir}/fo", "2025-01-02", "2025-01-02", "order_date")
     assert "PartitionFilters: [isnotnull(order_date_day" in pruned._jdf.queryExecution().executedPlan().toString()
     assert pruned.count() == 1
+
+
+def test_absent_sources_read_as_empty(spark, tmp_dir):
+    from martwise.plans.jobs import run_extract_only, write_gold
+    root = f"{tmp_dir}/exports"
+    fixtures.write_json_gz(f"{root}/sapo/products.json.gz", fixtures.PRODUCTS)
+    got = {r["source"]: r["records"] for r in run_extract_only(spark, root).collect()}
+    assert got == {"products": 2}
+    gold = RawJsonGold(spark, root)
+    assert gold.fact_orders.count() == 0 and gold.fact_orders.columns[0] == "order_key"
+    counts = write_gold(gold, f"{tmp_dir}/gold", names=("dim_products", "fact_orders"))
+    assert counts == {"dim_products": 2, "fact_orders": 0}
+    assert not os.path.exists(f"{tmp_dir}/gold/fact_orders")  # nothing written for an absent source
