@@ -18,20 +18,21 @@ from pyspark.sql import types as T
 
 from martwise import schemas
 
-# File layout of the exports (relative to a bucket root).
+# File layout of the exports (relative to the bucket root);
+# batch files are numbered from 0.
 SOURCE_FILES = {
     "shopify_orders": "shopify/orders_batch_{i}.json.gz",
     "sapo_orders": "sapo/transactions.json.gz",
-    "customers": "sapo/customers_batch_{i}.json.gz",
-    "products": "sapo/products.json.gz",
-    "locations": "sapo/locations.json.gz",
-    "online_orders": "sapo/online_orders.json.gz",
-    "paypal": "payments/paypal_transactions.json.gz",
-    "momo": "payments/momo_transactions.json.gz",
-    "zalopay": "payments/zalopay_transactions.json.gz",
-    "mercury_accounts": "payments/mercury_accounts.json.gz",
-    "mercury_transactions": "payments/mercury_transactions.json.gz",
-    "cart_events": "tracking/cart_events.json.gz",
+    "customers": "shared/customers/customers_batch_{i}.json.gz",
+    "products": "shared/products.json.gz",
+    "locations": "shared/sapo_locations.json.gz",
+    "online_orders": "online_orders/online_orders.json.gz",
+    "paypal": "paypal/transactions.json.gz",
+    "momo": "momo/transactions.json.gz",
+    "zalopay": "zalopay/transactions.json.gz",
+    "mercury_accounts": "mercury/accounts.json.gz",
+    "mercury_transactions": "mercury/transactions.json.gz",
+    "cart_events": "cart_tracking/cart_events.json.gz",
 }
 SHOPIFY_BATCHES = 5
 CUSTOMER_BATCHES = 10
@@ -72,8 +73,8 @@ def with_file_sequence(df: DataFrame, paths: Sequence[str] = ()) -> DataFrame:
 
 
 def batch_paths(root: str, pattern: str, batch_count: int) -> list[str]:
-    """Numbered batch files, in order."""
-    return [f"{root.rstrip('/')}/{pattern.format(i=i)}" for i in range(1, batch_count + 1)]
+    """Numbered batch files (0 .. batch_count-1), in order."""
+    return [f"{root.rstrip('/')}/{pattern.format(i=i)}" for i in range(batch_count)]
 
 
 def read_source(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -111,20 +111,20 @@ def write_json_gz(path: str, records) -> None:
 
 def write_exports(root: str) -> str:
     """All sources in the exports' layout under ``root``."""
-    for i in range(1, 6):
-        write_json_gz(f"{root}/shopify/orders_batch_{i}.json.gz", SHOPIFY if i == 1 else [])
-    write_json_gz(f"{root}/sapo/customers_batch_1.json.gz", CUSTOMERS_1)
-    write_json_gz(f"{root}/sapo/customers_batch_2.json.gz", CUSTOMERS_2)
-    for i in range(3, 11):
-        write_json_gz(f"{root}/sapo/customers_batch_{i}.json.gz", [])
+    for i in range(5):
+        write_json_gz(f"{root}/shopify/orders_batch_{i}.json.gz", SHOPIFY if i == 0 else [])
+    write_json_gz(f"{root}/shared/customers/customers_batch_0.json.gz", CUSTOMERS_1)
+    write_json_gz(f"{root}/shared/customers/customers_batch_1.json.gz", CUSTOMERS_2)
+    for i in range(2, 10):
+        write_json_gz(f"{root}/shared/customers/customers_batch_{i}.json.gz", [])
     write_json_gz(f"{root}/sapo/transactions.json.gz", SAPO)
-    write_json_gz(f"{root}/sapo/products.json.gz", PRODUCTS)
-    write_json_gz(f"{root}/sapo/locations.json.gz", LOCATIONS[0])  # one object, not an array
-    write_json_gz(f"{root}/sapo/online_orders.json.gz", ONLINE)
-    write_json_gz(f"{root}/payments/paypal_transactions.json.gz", PAYPAL)
-    write_json_gz(f"{root}/payments/momo_transactions.json.gz", MOMO)
-    write_json_gz(f"{root}/payments/zalopay_transactions.json.gz", ZALOPAY)
-    write_json_gz(f"{root}/payments/mercury_transactions.json.gz", MERCURY)
-    write_json_gz(f"{root}/payments/mercury_accounts.json.gz", [{"id": "A1", "name": "Ops"}])
-    write_json_gz(f"{root}/tracking/cart_events.json.gz", CART)
+    write_json_gz(f"{root}/shared/products.json.gz", PRODUCTS)
+    write_json_gz(f"{root}/shared/sapo_locations.json.gz", LOCATIONS[0])  # one object, not an array
+    write_json_gz(f"{root}/online_orders/online_orders.json.gz", ONLINE)
+    write_json_gz(f"{root}/paypal/transactions.json.gz", PAYPAL)
+    write_json_gz(f"{root}/momo/transactions.json.gz", MOMO)
+    write_json_gz(f"{root}/zalopay/transactions.json.gz", ZALOPAY)
+    write_json_gz(f"{root}/mercury/transactions.json.gz", MERCURY)
+    write_json_gz(f"{root}/mercury/accounts.json.gz", [{"id": "A1", "name": "Ops"}])
+    write_json_gz(f"{root}/cart_tracking/cart_events.json.gz", CART)
     return root

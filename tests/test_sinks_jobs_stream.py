@@ -133,7 +133,7 @@ def test_views_on_gold_push_filters_to_scan(spark, tmp_dir):
 def test_absent_sources_read_as_empty(spark, tmp_dir):
     from martwise.plans.jobs import run_extract_only, write_gold
     root = f"{tmp_dir}/exports"
-    fixtures.write_json_gz(f"{root}/sapo/products.json.gz", fixtures.PRODUCTS)
+    fixtures.write_json_gz(f"{root}/shared/products.json.gz", fixtures.PRODUCTS)
     got = {r["source"]: r["records"] for r in run_extract_only(spark, root).collect()}
     assert got == {"products": 2}
     gold = RawJsonGold(spark, root)
