@@ -17,7 +17,6 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from martwise import schemas
 from martwise.plans import dimensions, facts
@@ -215,12 +214,9 @@ class RawJsonGold(GoldBase):
         self.land = land
 
     def source(self, name: str) -> DataFrame | None:
-        try:
-            df = js.read_source(self.spark, self.root, name)
-        except AnalysisException as ex:
-            if "PATH_NOT_FOUND" in str(ex) or "Path does not exist" in str(ex):
-                return None
-            raise
+        df = js.read_source_if_present(self.spark, self.root, name)
+        if df is None:
+            return None
         if self.bronze and name in self.land:
             df = js.land_bronze(df, f"{self.bronze.rstrip('/')}/{name}")
         return df

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from martwise.operators import quality, rfm
 from martwise.plans import views
@@ -121,12 +120,9 @@ def run_extract_only(spark: SparkSession, root: str) -> DataFrame:
     """R2: records per raw source (one count job over a union of sources)."""
     parts = []
     for name in js.SOURCE_FILES:
-        try:
-            df = js.read_source(spark, root, name)
-        except AnalysisException as ex:  # an absent source is skipped; other errors are raised
-            if "PATH_NOT_FOUND" in str(ex) or "Path does not exist" in str(ex):
-                continue
-            raise
+        df = js.read_source_if_present(spark, root, name)  # absent: skipped; partial: error
+        if df is None:
+            continue
         parts.append(df.select(F.lit(name).alias("source")))
     if not parts:
         return spark.createDataFrame([], "source string, records bigint")

@@ -77,6 +77,41 @@ def batch_paths(root: str, pattern: str, batch_count: int) -> list[str]:
     return [f"{root.rstrip('/')}/{pattern.format(i=i)}" for i in range(batch_count)]
 
 
+def _missing(ex: Exception) -> bool:
+    return "PATH_NOT_FOUND" in str(ex) or "Path does not exist" in str(ex)
+
+
+def read_source_if_present(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """A named source, or None when none of its files exist.  A partial set
+    of batch files is an error, never a silently smaller source."""
+    from pyspark.sql.utils import AnalysisException
+    try:
+        return read_source(spark, root, name)
+    except AnalysisException as ex:
+        if not _missing(ex):
+            raise
+        present = []
+        for path in source_paths(root, name):
+            try:
+                spark.read.schema("x string").json(path)
+                present.append(path)
+            except AnalysisException as one:
+                if not _missing(one):
+                    raise
+        if present:
+            raise
+        return None
+
+
+def source_paths(root: str, name: str) -> list[str]:
+    pattern = SOURCE_FILES[name]
+    if name == "shopify_orders":
+        return batch_paths(root, pattern, SHOPIFY_BATCHES)
+    if name == "customers":
+        return batch_paths(root, pattern, CUSTOMER_BATCHES)
+    return [f"{root.rstrip('/')}/{pattern}"]
+
+
 def read_source(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One named source under ``root`` with its explicit schema."""
     schema = {
@@ -87,14 +122,7 @@ def read_source(spark: SparkSession, root: str, name: str) -> DataFrame:
         "mercury_accounts": schemas.RAW_MERCURY_ACCOUNT,
         "mercury_transactions": schemas.RAW_MERCURY_TXN, "cart_events": schemas.RAW_CART_EVENT,
     }[name]
-    pattern = SOURCE_FILES[name]
-    if name == "shopify_orders":
-        paths = batch_paths(root, pattern, SHOPIFY_BATCHES)
-    elif name == "customers":
-        paths = batch_paths(root, pattern, CUSTOMER_BATCHES)
-    else:
-        paths = [f"{root.rstrip('/')}/{pattern}"]
-    return read_json_gzip(spark, paths, schema)
+    return read_json_gzip(spark, source_paths(root, name), schema)
 
 
 def land_bronze(df: DataFrame, path: str, partitions: int | None = None) -> DataFrame:

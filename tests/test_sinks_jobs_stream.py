@@ -141,3 +141,14 @@ def test_absent_sources_read_as_empty(spark, tmp_dir):
     counts = write_gold(gold, f"{tmp_dir}/gold", names=("dim_products", "fact_orders"))
     assert counts == {"dim_products": 2, "fact_orders": 0}
     assert not os.path.exists(f"{tmp_dir}/gold/fact_orders")  # nothing written for an absent source
+
+
+
+def test_partial_batches_are_an_error(spark, tmp_dir):
+    import pytest
+    from pyspark.sql.utils import AnalysisException
+    root = f"{tmp_dir}/exports"
+    fixtures.write_json_gz(f"{root}/shopify/orders_batch_0.json.gz", fixtures.SHOPIFY)
+    with pytest.raises(AnalysisException):
+        js.read_source_if_present(spark, root, "shopify_orders")  # batches 1-4 missing
+    assert js.read_source_if_present(spark, root, "momo") is None
