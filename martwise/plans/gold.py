@@ -202,7 +202,8 @@ class DriverGold(GoldBase):
 
 class RawJsonGold(GoldBase):
     """Gold tables from the gzip JSON exports under ``root`` (any Hadoop
-    path).  A missing source reads as absent, like an empty export.  With
+    path).  A source none of whose files exist reads as absent, like an
+    empty export; a partial set of batch files is an error.  With
     ``bronze`` set, large single-file sources are landed once as Parquet
     there and read back (H1)."""
 
