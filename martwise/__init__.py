@@ -9,4 +9,17 @@ DataFrame views and measures.  Every builder is a lazy
 
 from martwise.session import build_session, checkpoint_dir
 
-__all__ = ["build_session", "checkpoint_dir"]
+
+def __getattr__(name):
+    """Lazy exports of the main entry points (they import pyspark plans)."""
+    if name in ("RawJsonGold", "DriverGold"):
+        from martwise.plans import gold
+        return getattr(gold, name)
+    if name in ("run_full_pipeline", "run_extract_only", "run_transform_only"):
+        from martwise.plans import jobs
+        return getattr(jobs, name)
+    raise AttributeError(name)
+
+
+__all__ = ["build_session", "checkpoint_dir", "RawJsonGold", "DriverGold", "run_full_pipeline",
+           "run_extract_only", "run_transform_only"]
