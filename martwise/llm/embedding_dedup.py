@@ -192,6 +192,7 @@ def node_links(nodes: DataFrame, threshold: float = THRESHOLD, recall: float = R
     count, width = nodes.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
     if not count:
         return nodes.select("key", F.lit(0).cast("long").alias("links"), F.col("key").alias("component"))
+    width = max(2, width)  # two halves
     index = build_index(nodes, count, width, threshold, recall)
     placed = cut(nodes.select("key", "copies", "embedding").mapInArrow(
         _visits(index, width), "key long, copies long, vector binary, home int, cells array<int>"))
