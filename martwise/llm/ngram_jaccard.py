@@ -267,8 +267,12 @@ def node_links(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float =
     entries = sketches.select("key", F.explode("bands").alias("band"))
     shared = (entries.groupBy("band").agg(F.min("key").alias("low"), F.max("key").alias("high"))
               .filter(F.col("low") != F.col("high")).select("band", "low"))
-    stars = entries.join(shared, "band").filter(F.col("key") != F.col("low")).select(
-        F.col("key").alias("src"), F.col("low").alias("dst")).distinct()
+    # a node and the smallest nodes of its bands (at most one a band) are tied to the smallest of them all,
+    # which leaves about one edge a node
+    lows = entries.join(shared, "band").groupBy("key").agg(F.collect_set("low").alias("lows"))
+    group = F.array_union("lows", F.array("key"))
+    stars = lows.select(F.explode(group).alias("src"), F.array_min(group).alias("dst")).filter(
+        F.col("src") != F.col("dst")).distinct()
     comps = connected_components(stars).select(F.col("id").alias("key"), F.col("component").alias("comp"))
     copies = sketches.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.max("shingles").alias("shingles"))
     comps = cut(comps.join(copies, "key"))
