@@ -16,6 +16,10 @@ import martwise
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
+# Rows of an Arrow batch: texts and pages are long, so a batch of the default
+# 10,000 rows would not fit a small worker.
+BATCH_ROWS = 500
+
 # A side of a join is broadcast only up to this many rows (counted first);
 # beyond it the join shuffles and AQE splits its skewed keys.
 BROADCAST_ROWS = 200_000
@@ -59,7 +63,9 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once a session."""
+    """Send this package to the executors' Python workers, once a session,
+    and bound the rows that a worker holds at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     sc = spark.sparkContext
     if getattr(sc, "_martwise_shipped", False):
         return

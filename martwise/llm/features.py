@@ -32,7 +32,7 @@ class _Codes(dict):
     """Token to 64 bits: the hash of the lower-cased token, then that of its shape."""
 
     def __missing__(self, token: str) -> int:
-        if len(self) > 400_000:
+        if len(self) > 150_000:
             self.clear()
         code = (xxhash.xxh32_intdigest(token.lower()) << 32) | xxhash.xxh32_intdigest(shape(token))
         self[token] = code
@@ -43,7 +43,7 @@ class _Words(dict):
     """Word to the ids of the word and of its first 4 and 5 letters."""
 
     def __missing__(self, word: str) -> tuple[int, int, int]:
-        if len(self) > 200_000:
+        if len(self) > 100_000:
             self.clear()
         ids = self[word] = tuple(xxhash.xxh3_64_intdigest(x) >> 1 for x in (word, "^4" + word[:4], "^5" + word[:5]))
         return ids

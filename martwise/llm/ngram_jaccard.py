@@ -64,7 +64,7 @@ class _WordHashes(dict):
     """64-bit hashes of words, kept for the words seen lately."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 400_000:
+        if len(self) > 150_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h

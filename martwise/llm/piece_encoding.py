@@ -213,9 +213,9 @@ def codec(model_file: str) -> PieceCodec:
 
 OUTPUTS = {
     "n_tokens": (T.LongType(), lambda c, e: len(e.ids)),
-    "ids": (T.ArrayType(T.IntegerType()), lambda c, e: e.ids),
-    "begin": (T.ArrayType(T.LongType()), lambda c, e: e.begin.tolist()),
-    "end": (T.ArrayType(T.LongType()), lambda c, e: e.end.tolist()),
+    "ids": (T.ArrayType(T.IntegerType()), lambda c, e: np.array(e.ids, np.int32)),
+    "begin": (T.ArrayType(T.LongType()), lambda c, e: e.begin),
+    "end": (T.ArrayType(T.LongType()), lambda c, e: e.end),
     "decoded": (T.StringType(), lambda c, e: c.decode(e.ids)),
     "ids_sha256": (T.StringType(), lambda c, e: hashlib.sha256(str(e.ids)[1:-1].replace(" ", "").encode()).hexdigest()),
     "decoded_sha256": (T.StringType(), lambda c, e: hashlib.sha256(c.decode(e.ids).encode()).hexdigest()),
