@@ -157,8 +157,6 @@ class WordTokenizer:
         self.words: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.words) > self.LIMIT:
-            self.words.clear()
         if len(self.known) > self.LIMIT:
             self.known.clear()
         split = list(map(self.split, words))
@@ -180,14 +178,15 @@ class WordTokenizer:
         """Little-endian ids of every text."""
         plain = [None if t is None or self.odd(t) else t.lower().split() for t in texts]
         for k in range(0, len(plain), 64):
-            new = set().union(*(w for w in plain[k:k + 64] if w)).difference(self.words)
+            wanted = set().union(*(w for w in plain[k:k + 64] if w))
+            new = wanted.difference(self.words)
+            if len(self.words) + len(new) > self.LIMIT:  # start over with what is needed now
+                self.words.clear()
+                new = wanted
             if new:
                 self._learn(list(new))
             for i in range(k, min(k + 64, len(plain))):
                 if plain[i] is not None:
-                    missing = [w for w in plain[i] if w not in self.words] if len(self.words) < len(new) else ()
-                    if missing:
-                        self._learn(missing)
                     plain[i] = b"".join(map(self.words.__getitem__, plain[i]))
                 elif texts[i]:
                     ids = self.whole.encode(texts[i], add_special_tokens=False).ids

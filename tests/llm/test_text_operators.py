@@ -151,6 +151,14 @@ def test_word_tokenizer_equals_the_library():
         assert [np.frombuffer(x, np.uint16).tolist() for x in tok.encode(texts)] == library_ids(texts)
 
 
+def test_word_tokenizer_forgets_and_stays_right():
+    tok = token_records.WordTokenizer(word_model())
+    tok.LIMIT = 150
+    texts = [" ".join(f"word{(i * 7 + k) % 400}$$" for k in range(9)) for i in range(300)]
+    got = [np.frombuffer(x, np.uint16).tolist() for x in tok.encode(texts)]
+    assert got == library_ids(texts) and len(tok.words) <= 600
+
+
 def test_records_round_trip(shipped):
     docs = documents(shipped)
     rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
