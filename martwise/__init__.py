@@ -7,7 +7,7 @@ DataFrame views and measures.  Every builder is a lazy
 ``DataFrame -> DataFrame`` function; actions happen only in sinks and jobs.
 """
 
-from martwise.session import build_session, checkpoint_dir
+from martwise.session import build_session
 
 
 def __getattr__(name):
@@ -21,5 +21,5 @@ def __getattr__(name):
     raise AttributeError(name)
 
 
-__all__ = ["build_session", "checkpoint_dir", "RawJsonGold", "DriverGold", "run_full_pipeline",
+__all__ = ["build_session", "RawJsonGold", "DriverGold", "run_full_pipeline",
            "run_extract_only", "run_transform_only"]

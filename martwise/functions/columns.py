@@ -6,8 +6,6 @@ Python runs per row.  Each takes and returns Columns (or column names).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,11 +63,16 @@ def date_key(c) -> Column:
     return F.coalesce(F.date_format(col(c), "yyyyMMdd").cast("int"), F.lit(0))
 
 
+def integral_text(c) -> Column:
+    """Text of a value, with the '.0' of an integral number taken off."""
+    text = col(c).cast("string")
+    return F.when(text.endswith("0"), F.regexp_replace(text, r"^([+-]?\d+)\.0+$", "$1")).otherwise(text)
+
+
 # P8 / Q11
 def key_part(c) -> Column:
     """Text of one key part: integral numbers without '.0', null as 'None'."""
-    c = col(c)
-    return F.coalesce(c.cast("string"), F.lit(NULL_KEY_TEXT))
+    return F.coalesce(integral_text(c), F.lit(NULL_KEY_TEXT))
 
 
 def surrogate_key(*parts) -> Column:
@@ -95,13 +98,8 @@ def to_double_or_zero(c) -> Column:
 
 
 def to_nullable_long(c) -> Column:
-    """Nullable integer id; fractional or bad text becomes null."""
-    return col(c).cast("string").try_cast("bigint")
-
-
-def to_text(c) -> Column:
-    """String key."""
-    return col(c).cast("string")
+    """Nullable integer id; integral text may end in '.0'; other text becomes null."""
+    return integral_text(c).try_cast("bigint")
 
 
 def blank_to_null(c) -> Column:
@@ -169,20 +167,11 @@ def is_holiday(d) -> Column:
     return F.date_format(col(d), "MM-dd").isin(*HOLIDAYS_MM_DD)
 
 
-def first_non_null(*cols) -> Column:
-    """Key fallback chain with coalesce semantics (Q9)."""
-    return F.coalesce(*[col(c) for c in cols])
-
-
 def count_if(cond: Column) -> Column:
     """Rows where cond is true (null counts as false); 0 on empty input."""
     return F.count_if(cond)
 
 
-def all_of(conds: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conds)
-
-
 def as_of_literal(as_of) -> Column:
     """The 'now' of a run is an argument; None means the current time."""
     if as_of is None:

@@ -39,12 +39,14 @@ def keep_first_with_id(df: DataFrame, keys: Sequence[str], id_col: str,
     """Q22 fix: only rows with a real (non-blank) id are deduplicated; rows
     without one are all kept (and counted by the quality checks).
 
-    One aggregate, one scan: a row without a real id gets a unique extra
-    grouping value, so it forms a group of its own.  The value is never
-    output, so only its uniqueness matters."""
+    One aggregate, one scan: a row without a real id gets a hash of its
+    sequence and columns as an extra grouping value, so it forms a group of
+    its own.  The value depends on the row alone, so a task that is run
+    again sends the row to the same group."""
     real = F.coalesce(has_real_id(id_col), F.lit(False))
     solo = "_solo"
-    staged = df.withColumn(solo, F.when(real, F.lit(None).cast("bigint"))
-                                  .otherwise(F.monotonically_increasing_id()))
+    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    own = F.xxhash64(*order, *[F.col(c) for c in df.columns])
+    staged = df.withColumn(solo, F.when(real, F.lit(None).cast("bigint")).otherwise(own))
     cols = list(columns) if columns is not None else df.columns
     return keep_first(staged, [*keys, solo], order_by, cols)

@@ -10,7 +10,7 @@ from martwise.functions.columns import (
     conform, date_key, is_holiday, parse_utc_timestamp, rename_existing, standardize_columns,
     to_nullable_long,
 )
-from martwise.operators.dedup import keep_first
+from martwise.operators.dedup import keep_first_with_id
 from martwise.sources.json_sources import SEQ, calendar, conform_raw
 
 NEW_SEGMENT = "New"
@@ -34,38 +34,46 @@ def _long_keep_null(c: Column) -> Column:
     return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
 
 
+def _one_per_id(df: DataFrame, key: str, raw_id: str, schema) -> DataFrame:
+    """D1 by the parsed id; ids that do not parse are told apart by their
+    text, and rows without an id are all kept (Q22)."""
+    text = F.trim(F.col(raw_id))
+    staged = df.withColumn("_unparsed", F.when(F.col(key).isNull(), text))
+    return conform(keep_first_with_id(staged, [key, "_unparsed"], raw_id, [SEQ], schema.fieldNames()), schema)
+
+
 def dim_customers(raw_customers: DataFrame) -> DataFrame:
     """B1: customers with the aggregate columns at their initial values."""
     r = _raw(raw_customers, schemas.RAW_CUSTOMER)
     df = r.select(
-        to_nullable_long("id").alias("customer_id"), "email", F.col("name").alias("full_name"),
+        F.col("id").alias("_id"), to_nullable_long("id").alias("customer_id"), "email", F.col("name").alias("full_name"),
         "phone", "city", "country", parse_utc_timestamp("created_at").alias("created_at"),
         F.lit(NEW_SEGMENT).alias("customer_segment"), F.lit(0).cast("bigint").alias("lifetime_value_vnd"),
         F.lit(0).cast("bigint").alias("total_orders"), F.lit(None).cast("timestamp_ntz").alias("first_order_date"),
         F.lit(None).cast("timestamp_ntz").alias("last_order_date"), F.col(SEQ))
-    return conform(keep_first(df, ["customer_id"], [SEQ]), schemas.DIM_CUSTOMERS)
+    return _one_per_id(df, "customer_id", "_id", schemas.DIM_CUSTOMERS)
 
 
 def dim_products(raw_products: DataFrame) -> DataFrame:
     """B2."""
     r = _raw(raw_products, schemas.RAW_PRODUCT)
     df = r.select(
-        to_nullable_long("id").alias("product_id"), F.col("name").alias("product_name"), "sku", "barcode",
+        F.col("id").alias("_id"), to_nullable_long("id").alias("product_id"), F.col("name").alias("product_name"), "sku", "barcode",
         "category", "brand", _long_keep_null(F.col("price_vnd")).alias("price_vnd"),
         F.col("price_usd").try_cast("double").alias("price_usd"),
         _long_keep_null(F.col("stock_quantity")).alias("stock_quantity"),
         F.lit(True).alias("is_active"), F.col(SEQ))
-    return conform(keep_first(df, ["product_id"], [SEQ]), schemas.DIM_PRODUCTS)
+    return _one_per_id(df, "product_id", "_id", schemas.DIM_PRODUCTS)
 
 
 def dim_locations(raw_locations: DataFrame) -> DataFrame:
     """Every location is a store."""
     r = _raw(raw_locations, schemas.RAW_LOCATION)
     df = r.select(
-        to_nullable_long("id").alias("location_id"), F.col("code").alias("location_code"),
+        F.col("id").alias("_id"), to_nullable_long("id").alias("location_id"), F.col("code").alias("location_code"),
         F.col("name").alias("location_name"), F.lit("store").alias("location_type"), "city", "address",
         "phone", F.lit(True).alias("is_active"), F.col(SEQ))
-    return conform(keep_first(df, ["location_id"], [SEQ]), schemas.DIM_LOCATIONS)
+    return _one_per_id(df, "location_id", "_id", schemas.DIM_LOCATIONS)
 
 
 def dim_staff(raw_pos_orders: DataFrame | None) -> DataFrame | None:
@@ -79,7 +87,7 @@ def dim_staff(raw_pos_orders: DataFrame | None) -> DataFrame | None:
     df = r.select(person.alias("p"), F.col("location_id"), F.col(SEQ)) \
           .filter(F.col("p.id").isNotNull() & ~F.trim(F.col("p.id")).isin("", "0"))
     df = df.select(
-        to_nullable_long("p.id").alias("staff_id"),
+        F.col("p.id").alias("_id"), to_nullable_long("p.id").alias("staff_id"),
         F.coalesce(F.col("p.code"), F.lit("")).alias("staff_code"),
         F.coalesce(F.col("p.name"), F.lit("")).alias("full_name"),
         F.coalesce(F.col("p.position"), F.lit("Staff")).alias("position"),
@@ -87,11 +95,7 @@ def dim_staff(raw_pos_orders: DataFrame | None) -> DataFrame | None:
         F.coalesce(F.col("p.phone"), F.lit("")).alias("phone"),
         to_nullable_long("location_id").alias("location_id"),
         F.lit(None).cast("timestamp_ntz").alias("hire_date"), F.lit(True).alias("is_active"), F.col(SEQ))
-    return conform(keep_first(df, ["staff_id"], [SEQ]), schemas.DIM_STAFF)
-
-
-def empty_dim_staff(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], schemas.DIM_STAFF)
+    return _one_per_id(df, "staff_id", "_id", schemas.DIM_STAFF)
 
 
 def date_attributes(days: DataFrame, date_col: str = "full_date") -> DataFrame:

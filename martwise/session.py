@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -15,6 +14,7 @@ CORE_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
@@ -50,28 +50,4 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     for k, v in CORE_CONF.items():
         spark.conf.set(k, v)
     spark.sparkContext.setLogLevel(os.environ.get("MARTWISE_LOG_LEVEL", "ERROR"))
-    checkpoint_dir(spark)
     return spark
-
-
-def checkpoint_dir(spark: SparkSession, required: bool = False) -> str | None:
-    """Return the shared checkpoint folder, setting one only if none is set.
-
-    A cluster names its shared folder in ``spark.checkpoint.dir``; that one
-    always wins.  Only a local master (tests, bench) falls back to a fresh
-    scratch folder: on a cluster a machine-local folder would not survive
-    a lost executor, so there it stays unset (an error if ``required``).
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not sc.master.startswith("local"):
-            if required:
-                raise RuntimeError("set spark.checkpoint.dir to a folder in shared storage")
-            return None
-        configured = tempfile.mkdtemp(prefix="martwise-ckpt-", dir=os.environ.get("MARTWISE_SCRATCH", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
