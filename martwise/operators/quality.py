@@ -83,12 +83,12 @@ def amount_stats_many(specs: Sequence[tuple[DataFrame, Sequence[str], str, bool]
     """DQ4 / A7 + A11: mean, exact median, sample std, negatives, > 3 sigma
     for every (table, amount column) in ``specs``, in one plan.
 
-    Each table is read once into a long (table, column, value) frame; then
-    one value histogram per (table, column) - a partial aggregate, combined
-    map-side - feeds every statistic: sums on decimal(38,0), so the mean is
-    exact and independent of the summation order; the std from those exact
-    sums; the median exactly from histogram offsets; outliers by joining
-    the histogram with its one-row-per-column stats.
+    Each table is read into a long (table, column, value) frame.  One pass
+    gives count, mean (``avg``), std (``stddev_samp``, merged stably) and
+    negatives; a value histogram, combined map-side, gives the exact median;
+    a last pass counts the outliers against the one-row-per-column stats.
+    Mean and std are rounded to 4 and 2 places, beyond the noise that the order
+    of summation leaves.  Std 0 or a single value has no outliers.
     """
     longs = []
     for df, columns, table_name, allow_negative in specs:
@@ -101,28 +101,18 @@ def amount_stats_many(specs: Sequence[tuple[DataFrame, Sequence[str], str, bool]
     for lf in longs[1:]:
         long = long.unionByName(lf)
     keys = ["table_name", "column_name", "allow_negative"]
-    hist = long.filter(F.col("x").isNotNull()).groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c"))
-    xd = F.col("x").cast("decimal(38,0)")
-    cd = F.col("c").cast("decimal(38,0)")
-    stats = hist.groupBy(*keys).agg(
-        F.sum("c").alias("n"), F.sum(xd * cd).alias("s1"), F.sum(xd * xd * cd).alias("s2"),
-        F.sum(F.when(F.col("x") < 0, F.col("c")).otherwise(F.lit(0).cast("bigint"))).alias("neg"))
-    n = F.col("n").cast("double")
-    s1 = F.col("s1").cast("double")
-    s2 = F.col("s2").cast("double")
-    stats = stats.select(
-        *keys, F.col("n").cast("bigint").alias("n"), F.col("neg").cast("bigint").alias("neg"),
-        F.when(F.col("n") > 0, s1 / n).alias("mean"),
-        F.when(F.col("n") > 1, F.sqrt(F.greatest((s2 - s1 * s1 / n) / (n - 1), F.lit(0.0)))).alias("std"))
+    long = long.filter(F.col("x").isNotNull())
+    stats = long.groupBy(*keys).agg(F.count("x").alias("n"), F.avg("x").alias("_mean"), F.stddev_samp("x").alias("_std"),
+                                    count_if(F.col("x") < 0).alias("neg"))
+    hist = long.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c"))
     med = median_from_counts(hist, "x", "c", keys)
     # the stats side has one row per (table, column): a bounded broadcast
-    outl = hist.join(F.broadcast(stats.select(*keys, "mean", "std")), keys) \
-               .groupBy(*keys) \
-               .agg(F.sum(F.when((F.col("std") > 0) & (F.abs(F.col("x") - F.col("mean")) > 3 * F.col("std")),
-                                 F.col("c")).otherwise(F.lit(0).cast("bigint"))).cast("bigint").alias("outlier_count"))
+    far = (F.col("_std") > 0) & (F.abs(F.col("x") - F.col("_mean")) > 3 * F.col("_std"))
+    outl = (long.join(F.broadcast(stats.select(*keys, "_mean", "_std")), keys)
+            .groupBy(*keys).agg(count_if(far).alias("outlier_count")))
     return (stats.join(med, keys, "left").join(outl, keys, "left")
-                 .select("table_name", "column_name", F.col("n").alias("value_count"), "mean", "median",
-                         F.round("std", 2).alias("std"),
+                 .select("table_name", "column_name", F.col("n").alias("value_count"),
+                         F.round("_mean", 4).alias("mean"), "median", F.round("_std", 2).alias("std"),
                          F.when(~F.col("allow_negative"), F.col("neg")).alias("negative_count"),
                          F.coalesce("outlier_count", F.lit(0).cast("bigint")).alias("outlier_count")))
 

@@ -256,3 +256,11 @@ class RawJsonGold(GoldBase):
     @cached_property
     def raw_locations(self) -> DataFrame | None:
         return self.source("locations")
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        """The default calendar, whether or not there are orders."""
+        return dimensions.dim_date(self.spark)
+
+    def raw_for(self, name: str) -> DataFrame | None:
+        return self.dim_date if name == "dim_date" else super().raw_for(name)

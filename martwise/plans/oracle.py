@@ -269,11 +269,11 @@ RANGE_CHECKS = [
     ("dim_customers", "created_at", ORDERS_AS_OF),
 ]
 AMOUNT_CHECKS = [
-    ("fact_orders", ["total_vnd"], False),
+    ("fact_orders", ["total_vnd", "total_usd"], False),
     ("fact_order_items", ["unit_price_vnd", "line_total_vnd"], False),
-    ("fact_payments", ["amount_vnd"], False),
-    ("fact_bank_transactions", ["amount_vnd"], True),
-    ("dim_products", ["price_vnd"], False),
+    ("fact_payments", ["amount_vnd", "amount_usd"], False),
+    ("fact_bank_transactions", ["amount_vnd", "amount_usd"], True),
+    ("dim_products", ["price_vnd", "price_usd"], False),
 ]
 
 
@@ -296,18 +296,13 @@ def _range(table: str, col: str, as_of: str) -> str:
 def _amounts(table: str, cols: list[str], allow_negative: bool) -> str:
     parts = []
     for c in cols:
-        s1 = f"CAST(SUM(CAST({c} AS HUGEINT)) AS DOUBLE)"
-        s2 = f"CAST(SUM(CAST({c} AS HUGEINT) * CAST({c} AS HUGEINT)) AS DOUBLE)"
-        n = f"CAST(COUNT({c}) AS DOUBLE)"
         neg = "CAST(NULL AS BIGINT)" if allow_negative else f"count_if({c} < 0)"
         parts.append(
-            f"SELECT '{table}' AS table_name, '{c}' AS column_name, value_count, mean, median, "
-            f"round(std, 2) AS std, negative_count, "
-            f"(SELECT count_if(std > 0 AND abs(CAST(t.{c} AS DOUBLE) - mean) > 3 * std) FROM {table} t) "
-            f"AS outlier_count FROM (SELECT COUNT({c}) AS value_count, "
-            f"CASE WHEN COUNT({c}) > 0 THEN {s1} / {n} END AS mean, "
-            f"CAST(quantile_cont({c}, 0.5) AS DOUBLE) AS median, "
-            f"CASE WHEN COUNT({c}) > 1 THEN sqrt(greatest(({s2} - {s1} * {s1} / {n}) / ({n} - 1), 0.0)) END AS std, "
+            f"SELECT '{table}' AS table_name, '{c}' AS column_name, value_count, round(m, 4) AS mean, median, "
+            f"round(sd, 2) AS std, negative_count, "
+            f"(SELECT count_if(sd > 0 AND abs(CAST(t.{c} AS DOUBLE) - m) > 3 * sd) FROM {table} t) "
+            f"AS outlier_count FROM (SELECT COUNT({c}) AS value_count, avg(CAST({c} AS DOUBLE)) AS m, "
+            f"CAST(quantile_cont({c}, 0.5) AS DOUBLE) AS median, stddev_samp(CAST({c} AS DOUBLE)) AS sd, "
             f"{neg} AS negative_count FROM {table}) s")
     return " UNION ALL ".join(parts)
 

@@ -133,11 +133,11 @@ def _range_checks(g: DriverGold) -> list[DataFrame]:
 
 def _amount_checks(g: DriverGold) -> list[DataFrame]:
     return [quality.amount_stats_many([
-        (g.fact_orders, ["total_vnd"], "fact_orders", False),
+        (g.fact_orders, ["total_vnd", "total_usd"], "fact_orders", False),
         (g.fact_order_items, ["unit_price_vnd", "line_total_vnd"], "fact_order_items", False),
-        (g.fact_payments, ["amount_vnd"], "fact_payments", False),
-        (g.fact_bank_transactions, ["amount_vnd"], "fact_bank_transactions", True),
-        (g.dim_products, ["price_vnd"], "dim_products", False),
+        (g.fact_payments, ["amount_vnd", "amount_usd"], "fact_payments", False),
+        (g.fact_bank_transactions, ["amount_vnd", "amount_usd"], "fact_bank_transactions", True),
+        (g.dim_products, ["price_vnd", "price_usd"], "dim_products", False),
     ])]
 
 

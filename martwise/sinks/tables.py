@@ -20,6 +20,12 @@ log = logging.getLogger("martwise.sinks")
 WRITE_MODES = {"WRITE_TRUNCATE": "overwrite", "WRITE_APPEND": "append", "WRITE_EMPTY": "errorifexists"}
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path holds anything, asked of the path's own file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def day_column(field: str) -> str:
     return f"{field}_day"
 
@@ -61,7 +67,8 @@ def write_table(df: DataFrame, path: str, write_disposition: str = "WRITE_TRUNCA
         out = out.sortWithinPartitions(*part_cols, *cluster)
     obs = Observation("rows_written")
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = out.write.mode(mode)
+    # a session set to dynamic overwrite would leave days that are gone from the data
+    writer = out.write.mode(mode).option("partitionOverwriteMode", "static")
     if part_cols:
         writer = writer.partitionBy(*part_cols)
     writer.parquet(path)

@@ -10,6 +10,7 @@ abfs:) - Spark's filesystem layer does the listing and reading.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,11 +20,11 @@ from pyspark.sql import types as T
 from martwise import schemas
 
 # File layout of the exports (relative to the bucket root);
-# batch files are numbered from 0.
+# a star stands for the number of a batch file, from 0.
 SOURCE_FILES = {
-    "shopify_orders": "shopify/orders_batch_{i}.json.gz",
+    "shopify_orders": "shopify/orders_batch_*.json.gz",
     "sapo_orders": "sapo/transactions.json.gz",
-    "customers": "shared/customers/customers_batch_{i}.json.gz",
+    "customers": "shared/customers/customers_batch_*.json.gz",
     "products": "shared/products.json.gz",
     "locations": "shared/sapo_locations.json.gz",
     "online_orders": "online_orders/online_orders.json.gz",
@@ -34,8 +35,13 @@ SOURCE_FILES = {
     "mercury_transactions": "mercury/transactions.json.gz",
     "cart_events": "cart_tracking/cart_events.json.gz",
 }
-SHOPIFY_BATCHES = 5
-CUSTOMER_BATCHES = 10
+SOURCE_SCHEMAS = {
+    "shopify_orders": schemas.RAW_ORDER, "sapo_orders": schemas.RAW_ORDER, "online_orders": schemas.RAW_ORDER,
+    "customers": schemas.RAW_CUSTOMER, "products": schemas.RAW_PRODUCT, "locations": schemas.RAW_LOCATION,
+    "paypal": schemas.RAW_PAYPAL, "momo": schemas.RAW_MOMO, "zalopay": schemas.RAW_ZALOPAY,
+    "mercury_accounts": schemas.RAW_MERCURY_ACCOUNT, "mercury_transactions": schemas.RAW_MERCURY_TXN,
+    "cart_events": schemas.RAW_CART_EVENT,
+}
 # Column holding the position of a record: (file name, position in file)
 # is the "first" order for deduplication (hard point H3).
 SEQ = "_seq"
@@ -44,85 +50,77 @@ TAG = "_source"
 
 
 def _reader(spark: SparkSession, schema: T.StructType | None):
-    r = spark.read.option("multiLine", True).option("mode", "PERMISSIVE")
+    # a file that does not parse fails the load instead of giving null rows
+    r = spark.read.option("multiLine", True).option("mode", "FAILFAST")
     return r.schema(schema) if schema is not None else r
 
 
 def read_json_gzip(spark: SparkSession, path: str | Sequence[str],
                    schema: T.StructType | None = None) -> DataFrame:
     """S1 (one path) / S2 (a list of paths): records plus a sequence column
-    (file path, ordinal of the record in its file) for keep-first dedup."""
-    paths = [path] if isinstance(path, str) else list(path)
-    df = _reader(spark, schema).json(paths)
-    return with_file_sequence(df, paths)
-
-
-def with_file_sequence(df: DataFrame, paths: Sequence[str] = ()) -> DataFrame:
-    """Add ``_seq`` = struct(file, row ordinal in file).
-
-    ``file`` is the position of the file in ``paths`` (zero-padded, so
-    batch 10 sorts after batch 2) followed by its path.  A gzip file is one
-    split, so ``monotonically_increasing_id`` is a stable, increasing
-    ordinal within the file."""
-    fp = F.col("_metadata.file_path")
-    idx = F.lit(len(paths))
-    for i, p in reversed(list(enumerate(paths))):
-        idx = F.when(fp.endswith(p.split("://", 1)[-1].lstrip("/")), F.lit(i)).otherwise(idx)
-    file_key = F.concat(F.lpad(idx.cast("string"), 6, "0"), F.lit(":"), fp)
-    return df.withColumn(SEQ, F.struct(file_key.alias("file"), F.monotonically_increasing_id().alias("pos")))
-
+    (file, ordinal of the record) for keep-first dedup.
 
-def batch_paths(root: str, pattern: str, batch_count: int) -> list[str]:
-    """Numbered batch files (0 .. batch_count-1), in order."""
-    return [f"{root.rstrip('/')}/{pattern.format(i=i)}" for i in range(batch_count)]
-
-
-def _missing(ex: Exception) -> bool:
-    return "PATH_NOT_FOUND" in str(ex) or "Path does not exist" in str(ex)
+    ``line_items`` is read as an array of JSON texts and each element parsed
+    on its own, so an element that is not an object becomes null (and is
+    dropped by the item builder, FL5) without taking the others with it."""
+    paths = [path] if isinstance(path, str) else list(path)
+    if schema is None or "line_items" not in schema.fieldNames():
+        return with_file_sequence(_reader(spark, schema).json(paths))
+    texts = T.StructType([T.StructField(f.name, T.ArrayType(T.StringType())) if f.name == "line_items" else f
+                          for f in schema.fields])
+    df = with_file_sequence(_reader(spark, texts).json(paths))
+    return df.withColumn("line_items", parse_items(F.col("line_items"), schema["line_items"].dataType.elementType))
+
+
+def parse_items(texts: Column, item: T.StructType) -> Column:
+    """Each JSON text of an array as a struct; null where it is not an object."""
+    return F.transform(texts, lambda t: F.when(F.ltrim(t).startswith("{"), F.from_json(t, item)))
+
+
+def with_file_sequence(df: DataFrame) -> DataFrame:
+    """Add ``_seq`` = struct(file, row ordinal).
+
+    ``file`` starts with the batch number in the file's name (zero-padded, so
+    batch 10 sorts after batch 2), followed by its path.  A gzip file is one
+    split, so the ordinal increases within a file."""
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"_batch_(\d+)\.", 1)
+    file_key = F.concat(F.lpad(number, 9, "0"), F.lit(":"), F.col("_metadata.file_path"))
+    ordinal = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # without the partition number
+    return df.withColumn(SEQ, F.struct(file_key.alias("file"), ordinal.alias("pos")))
+
+
+def source_paths(spark: SparkSession, root: str, name: str) -> list[str]:
+    """The existing files of a source; numbered batch files in order.
+
+    Every batch file there is belongs to the source.  A gap in the numbers
+    is an error, never a silently smaller source; no file at all is an absent
+    source (an empty list).  The listing holds file names only, as Spark's own
+    listing of the read does."""
+    jvm = spark._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{SOURCE_FILES[name]}")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    paths = sorted(f.getPath().toString() for f in found or ())
+    if "*" not in SOURCE_FILES[name]:
+        return paths
+    numbered = sorted((int(m.group(1)), p) for p in paths if (m := re.search(r"_batch_(\d+)\.", p)))
+    missing = sorted(set(range(len(numbered))) - {n for n, _ in numbered})
+    if missing:
+        raise FileNotFoundError(f"{name}: batch files {[n for n, _ in numbered]} have gaps at {missing[:10]}")
+    return [p for _, p in numbered]
 
 
 def read_source_if_present(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    """A named source, or None when none of its files exist.  A partial set
-    of batch files is an error, never a silently smaller source."""
-    from pyspark.sql.utils import AnalysisException
-    try:
-        return read_source(spark, root, name)
-    except AnalysisException as ex:
-        if not _missing(ex):
-            raise
-        present = []
-        for path in source_paths(root, name):
-            try:
-                spark.read.schema("x string").json(path)
-                present.append(path)
-            except AnalysisException as one:
-                if not _missing(one):
-                    raise
-        if present:
-            raise
-        return None
-
-
-def source_paths(root: str, name: str) -> list[str]:
-    pattern = SOURCE_FILES[name]
-    if name == "shopify_orders":
-        return batch_paths(root, pattern, SHOPIFY_BATCHES)
-    if name == "customers":
-        return batch_paths(root, pattern, CUSTOMER_BATCHES)
-    return [f"{root.rstrip('/')}/{pattern}"]
+    """A named source, or None when none of its files exist."""
+    paths = source_paths(spark, root, name)
+    return read_json_gzip(spark, paths, SOURCE_SCHEMAS[name]) if paths else None
 
 
 def read_source(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One named source under ``root`` with its explicit schema."""
-    schema = {
-        "shopify_orders": schemas.RAW_ORDER, "sapo_orders": schemas.RAW_ORDER,
-        "online_orders": schemas.RAW_ORDER, "customers": schemas.RAW_CUSTOMER,
-        "products": schemas.RAW_PRODUCT, "locations": schemas.RAW_LOCATION,
-        "paypal": schemas.RAW_PAYPAL, "momo": schemas.RAW_MOMO, "zalopay": schemas.RAW_ZALOPAY,
-        "mercury_accounts": schemas.RAW_MERCURY_ACCOUNT,
-        "mercury_transactions": schemas.RAW_MERCURY_TXN, "cart_events": schemas.RAW_CART_EVENT,
-    }[name]
-    return read_json_gzip(spark, source_paths(root, name), schema)
+    df = read_source_if_present(spark, root, name)
+    if df is None:
+        raise FileNotFoundError(f"{name}: no file {SOURCE_FILES[name]} under {root}")
+    return df
 
 
 def land_bronze(df: DataFrame, path: str, partitions: int | None = None) -> DataFrame:
