@@ -39,7 +39,9 @@ def customer_journey(fact_cart_events: DataFrame, dim_customers: DataFrame,
     ``exact_rank`` computes it from per-(customer, minute) counts, so one
     very active customer is numbered by many tasks, not one.  Ties in time
     are broken by event_key.  W2 is a per-customer min (a partial
-    aggregate) joined back, sharing the customer_id shuffle of the joins.
+    aggregate).  Customer, purchases and first event are brought into one
+    row per customer first, so the events meet one join only, whose skewed
+    customers AQE can split.
     """
     ev = fact_cart_events.filter(F.col("customer_id").isNotNull()).select(
         "customer_id", "session_id", "event_type", "event_timestamp", "product_id",
@@ -54,9 +56,8 @@ def customer_journey(fact_cart_events: DataFrame, dim_customers: DataFrame,
                       F.count(F.lit(1)).alias("total_purchases"),
                       F.sum("total_vnd").cast("bigint").alias("total_revenue_vnd")))
     cust = dim_customers.select("customer_id", "full_name", "customer_segment")
-    j = (ranked.join(cust, "customer_id", "left")
-               .join(purchases, "customer_id", "left")
-               .join(first_event, "customer_id", "left"))
+    known = first_event.join(cust, "customer_id", "left").join(purchases, "customer_id", "left")
+    j = ranked.join(known, "customer_id", "left")
     return j.select(
         "customer_id", "full_name", "customer_segment", "session_id", "event_type", "event_timestamp",
         "touchpoint_sequence", "product_id", "traffic_source", "device", "utm_source", "utm_campaign",

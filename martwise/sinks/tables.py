@@ -26,6 +26,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this module wrote, through its own file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def day_column(field: str) -> str:
     return f"{field}_day"
 
@@ -162,7 +168,8 @@ def replace_table(df: DataFrame, path: str, partition_field: str | None = None,
     Spark cannot overwrite a path it is reading (the old files are deleted
     before they are read).  So the result is first written to a staging
     path in the same shared storage, then copied over the target by a
-    second job that reads only the staging copy."""
+    second job that reads only the staging copy.  The copy is removed once
+    the target is whole; it stays if the second job fails."""
     staging = f"{staging_root or path.rstrip('/') + '__staging'}/{uuid.uuid4().hex}"
     n = write_table(df, staging, "WRITE_TRUNCATE", partition_field, clustering_fields, empty_probe)
     if n == 0:
@@ -170,4 +177,6 @@ def replace_table(df: DataFrame, path: str, partition_field: str | None = None,
     staged = df.sparkSession.read.parquet(staging)
     if partition_field:
         staged = staged.drop(day_column(partition_field))
-    return write_table(staged, path, "WRITE_TRUNCATE", partition_field, clustering_fields)
+    n = write_table(staged, path, "WRITE_TRUNCATE", partition_field, clustering_fields)
+    delete_path(df.sparkSession, staging)
+    return n

@@ -83,10 +83,18 @@ def with_file_sequence(df: DataFrame) -> DataFrame:
     ``file`` starts with the batch number in the file's name (zero-padded, so
     batch 10 sorts after batch 2), followed by its path.  A gzip file is one
     split, so the ordinal increases within a file."""
+    return df.withColumn(SEQ, F.struct(file_key().alias("file"), ordinal().alias("pos")))
+
+
+def file_key() -> Column:
+    """The file of a record, in an order that follows batch numbers."""
     number = F.regexp_extract(F.col("_metadata.file_name"), r"_batch_(\d+)\.", 1)
-    file_key = F.concat(F.lpad(number, 9, "0"), F.lit(":"), F.col("_metadata.file_path"))
-    ordinal = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # without the partition number
-    return df.withColumn(SEQ, F.struct(file_key.alias("file"), ordinal.alias("pos")))
+    return F.concat(F.lpad(number, 9, "0"), F.lit(":"), F.col("_metadata.file_path"))
+
+
+def ordinal() -> Column:
+    """The position of a record in its read partition, without the partition number."""
+    return F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
 
 
 def source_paths(spark: SparkSession, root: str, name: str) -> list[str]:

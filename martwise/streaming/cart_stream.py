@@ -8,6 +8,10 @@ makes the ingest exactly-once across restarts and lost executors: a batch
 that fails is re-run from its recorded file list, and a batch id already
 committed to the sink is skipped.
 
+A micro-batch removes the duplicates it sees; ``read_ingested`` removes
+those between batches (the first ingested stays), so the table it returns
+is what the batch builder makes of all the files.
+
 ``dedup_watermark`` (new behaviour, not in the source): drop events whose
 event_id was already seen within that much event time, across batches,
 with ``dropDuplicatesWithinWatermark``; the state it keeps is bounded by
@@ -21,19 +25,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martwise import schemas
+from martwise.operators.dedup import keep_first
 from martwise.plans.facts import fact_cart_events
 from martwise.sinks.tables import write_table
-from martwise.sources.json_sources import SEQ
+from martwise.sources.json_sources import SEQ, file_key, ordinal
 
 
 def cart_event_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int = 1,
                       dedup_watermark: str | None = None) -> DataFrame:
     """Streaming frame of raw cart-event records (plus the source file)."""
     raw = (spark.readStream.schema(schemas.RAW_CART_EVENT)
-           .option("multiLine", True)
+           .option("multiLine", True).option("mode", "FAILFAST")
            .option("maxFilesPerTrigger", max_files_per_trigger)
            .json(source_dir))
-    raw = raw.withColumn("_file", F.col("_metadata.file_path"))
+    raw = raw.withColumn("_file", file_key())
     if dedup_watermark:
         raw = (raw.withColumn("_wm_ts", F.try_to_timestamp(F.col("timestamp")))
                   .withWatermark("_wm_ts", dedup_watermark)
@@ -44,12 +49,15 @@ def cart_event_stream(spark: SparkSession, source_dir: str, max_files_per_trigge
 
 def _batch_writer(target_path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        staged = batch.withColumn(SEQ, F.struct(F.col("_file").alias("file"),
-                                                F.monotonically_increasing_id().alias("pos"))).drop("_file")
-        # idempotent per batch id: a re-run batch overwrites its own slice only
-        write_table(fact_cart_events(staged),
-                    f"{target_path.rstrip('/')}/ingest_batch={batch_id}", "WRITE_TRUNCATE",
-                    "event_timestamp", ("customer_id", "session_id", "event_type"), empty_probe=batch)
+        staged = batch.withColumn(SEQ, F.struct(F.col("_file").alias("file"), ordinal().alias("pos"))).drop("_file")
+        batch.persist()  # the probe and the write read the files, and the watermark's state, once
+        try:
+            # idempotent per batch id: a re-run batch overwrites its own slice only
+            write_table(fact_cart_events(staged),
+                        f"{target_path.rstrip('/')}/ingest_batch={batch_id}", "WRITE_TRUNCATE",
+                        "event_timestamp", ("customer_id", "session_id", "event_type"), empty_probe=batch)
+        finally:
+            batch.unpersist()
     return write
 
 
@@ -66,5 +74,8 @@ def start_cart_event_ingest(spark: SparkSession, source_dir: str, target_path: s
 
 
 def read_ingested(spark: SparkSession, target_path: str) -> DataFrame:
-    """The gold table the stream wrote (all batches)."""
-    return spark.read.option("basePath", target_path).parquet(f"{target_path.rstrip('/')}/ingest_batch=*")
+    """The gold table the stream wrote: all batches, an event that came in
+    several of them once, as first ingested.  Events without an id have
+    their file and position in the key and all stay."""
+    slices = spark.read.option("basePath", target_path).parquet(f"{target_path.rstrip('/')}/ingest_batch=*")
+    return keep_first(slices, ["event_key"], ["ingest_batch"])

@@ -43,6 +43,7 @@ def test_replace_table_reading_itself(spark, tmp_dir):
     cur = spark.read.parquet(path)
     assert sinks.replace_table(cur.withColumn("id", F.col("id") * 10), path, staging_root=f"{tmp_dir}/stage") == 5
     assert sorted(r[0] for r in spark.read.parquet(path).collect()) == [0, 10, 20, 30, 40]
+    assert os.listdir(f"{tmp_dir}/stage") == []  # the staging copy is gone
 
 
 def test_database_and_views(spark):
@@ -89,6 +90,23 @@ def test_stream_ingest_equals_batch(spark, tmp_dir):
     assert streamed.count() == 12
 
 
+def test_stream_equals_batch_with_ids_shared_by_files(spark, tmp_dir):
+    src = f"{tmp_dir}/events"
+    for i in range(3):
+        part = [dict(fixtures.CART[0], event_id="same", device=f"d{i}"), dict(fixtures.CART[0], event_id=f"own{i}"),
+                dict(fixtures.CART[0], event_id=None)]
+        fixtures.write_json_gz(f"{src}/part-{i}.json.gz", part)
+    target = f"{tmp_dir}/gold_events"
+    start_cart_event_ingest(spark, src, target, f"{tmp_dir}/ckpt").awaitTermination(300)
+    streamed = read_ingested(spark, target).drop("ingest_batch", "event_timestamp_day")
+    batch = fact_cart_events(js.read_json_gzip(spark, [f"{src}/part-{i}.json.gz" for i in range(3)],
+                                               js.schemas.RAW_CART_EVENT))
+    assert streamed.count() == batch.count() == 7  # one shared, three own, three without an id
+    cols = [c for c in batch.columns if c != "event_key"]
+    assert sorted(map(str, streamed.select(cols).collect())) == sorted(map(str, batch.select(cols).collect()))
+    assert [r["device"] for r in streamed.filter("event_id = 'same'").collect()] == ["d0"]
+
+
 def test_stream_watermark_dedup_across_batches(spark, tmp_dir):
     src = f"{tmp_dir}/events"
     first = [dict(fixtures.CART[0], event_id="x1"), dict(fixtures.CART[1], event_id="x2")]
