@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from martwise.plans.facts import fact_cart_events
 from martwise.plans.gold import RawJsonGold
-from martwise.plans.jobs import run_full_pipeline, run_transform_only
+from martwise.plans.jobs import run_extract_only, run_full_pipeline, run_transform_only
 from martwise.sinks import tables as sinks
 from martwise.sources import json_sources as js
 from martwise.streaming import read_ingested, start_cart_event_ingest
@@ -62,6 +62,13 @@ def test_full_pipeline_on_exports(spark, tmp_dir):
     assert got[("fact_orders", "rows", None)] == 7.0 and got[("fact_payments", "rows", None)] == 6.0
     assert got[("fact_payments", "duplicates", "payment_key")] == 1.0  # the two blank PayPal ids
     assert got[("dim_customers", "nulls", "email")] == 1.0
+    records = {r["source"]: r["records"] for r in run_extract_only(spark, root).collect()}
+    for table, sources in {"fact_orders": ("shopify_orders", "sapo_orders", "online_orders"),
+                           "fact_payments": ("paypal", "momo", "zalopay"), "fact_cart_events": ("cart_events",),
+                           "dim_customers": ("customers",), "dim_products": ("products",)}.items():
+        removed = sum(records.get(s, 0) for s in sources) - got[(table, "rows", None)]
+        assert got[(table, "duplicates_removed", None)] == removed >= 0, table
+    assert got[("fact_orders", "duplicates_removed", None)] > 0 or got[("dim_customers", "duplicates_removed", None)] > 0
     dim = {r["customer_id"]: r for r in spark.read.parquet(f"{tmp_dir}/gold/dim_customers").collect()}
     assert dim[1]["total_orders"] == 2 and dim[3]["total_orders"] == 1
     assert spark.sql("SELECT count(*) FROM vw_cashflow_daily").first()[0] > 0
