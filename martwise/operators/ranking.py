@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 # |v|, so the group table is bounded (< 2 * 64 * 2048 rows, a few MB)
 # whatever the data, while a band of nearby values stays narrow.
 LOG_STEPS_PER_OCTAVE = 2048
-# Ids per tie bucket for integral tie-break columns.
-ID_BUCKET_WIDTH = 4096
 # Leading characters that form the tie bucket of a text tie-break column.
+# Meant for hashed keys, whose first characters are evenly spread; text ids
+# with a common prefix need a ``tie_bucket`` of their own.
 TEXT_BUCKET_CHARS = 3
 
 
@@ -41,10 +41,6 @@ def log_grid(v: Column) -> Column:
     return (F.signum(v.cast("double")) * mag).cast("bigint")
 
 
-def id_bucket(t: Column) -> Column:
-    return F.floor(t / F.lit(ID_BUCKET_WIDTH)).cast("bigint")
-
-
 def text_bucket(t: Column) -> Column:
     return F.left(t.cast("string"), F.lit(TEXT_BUCKET_CHARS))
 
@@ -115,9 +111,12 @@ def exact_rank(df: DataFrame, order_value: Column | str, tie: Column | str,
 
 
 def _default_tie_bucket(df: DataFrame, t: Column) -> Column:
+    """Numeric ties fall on the log grid: its size is fixed, so the cells of a
+    heavy value stay few however sparse the ids are, and each holds a small
+    share of them however dense."""
     dtype = df.select(t.alias("_x")).schema["_x"].dataType.typeName()
     if dtype in ("long", "integer", "short", "byte", "double", "float", "decimal"):
-        return id_bucket(t)
+        return log_grid(t)
     return text_bucket(t)
 
 

@@ -64,3 +64,15 @@ def test_ntile_bucket_matches_ntile(spark, n):
 
 def test_qcut_differs_from_ntile_when_n_mod_5_is_3(spark):
     assert _pandas_qcut(8) != [1, 1, 2, 2, 3, 3, 4, 5]
+
+
+def test_sparse_ids_of_a_heavy_value_stay_on_the_grid(spark):
+    from martwise.operators.ranking import log_grid
+    spread = F.xxhash64("id").alias("key")  # ids over the whole 64-bit range, below zero too
+    df = spark.range(20000).select(spread, F.when(F.col("id") % 10 < 9, 1).otherwise(F.col("id") % 7).alias("v"))
+    got = exact_rank(df, "v", "key").collect()
+    want = {k: i + 1 for i, (_, k) in enumerate(sorted((r["v"], r["key"]) for r in got))}
+    assert all(r["rank"] == want[r["key"]] for r in got)
+    top = spark.range(200000).select(log_grid((F.lit(1 << 62) + F.col("id") * (1 << 44)).cast("bigint")).alias("g"))
+    cells = top.groupBy("g").count().agg(F.count(F.lit(1)).alias("n"), F.max("count").alias("most")).first()
+    assert cells["n"] <= 2 * 2048 and cells["most"] <= 400
