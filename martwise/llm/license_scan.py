@@ -1,8 +1,12 @@
 """License scans: phrases, and an exact containment join against notices
 (native: DataFrame functions only).
 
-Every line of a text is a block.  A notice is found in a block if the block
-holds ``THRESHOLD`` or more of the notice's distinct words.  The join is
+Every line of a text is a block, and so is every run of words across line
+breaks that is as long as the notice (its words over ``THRESHOLD``), so a
+notice wrapped over lines is compared whole.  A notice is found in a block if
+the block holds ``THRESHOLD`` or more of the notice's distinct words.  Runs are
+taken from stretches of words that overlap by the longest run; stretches with
+too few words of every notice are left out before the join.  The join is
 exact: words are ordered by how many blocks hold them, rarest first; a block
 and a notice that share enough words share one among the first few of each
 (prefix filter), the block has enough words (length filter), and enough words
@@ -17,7 +21,9 @@ empty result.  Columns named like a result column are replaced.
 
 from __future__ import annotations
 
+from functools import reduce
 from math import ceil
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,6 +98,24 @@ def scan_phrases(docs: DataFrame, phrases: dict[str, str] = PHRASES) -> DataFram
             .drop("__flat"))
 
 
+def _run(text: str, threshold: float) -> int:
+    """Words of a run that is compared with the notice ``text``."""
+    return ceil(len(text.split()) / threshold - 1e-9)
+
+
+def _may_hold(words: Column, notices: dict[str, list[str]], threshold: float) -> Column:
+    """Whether ``words`` has enough words of any notice."""
+    tests = [F.size(F.array_intersect(_literals(sorted(set(t.split()))), words)) >= ceil(threshold * len(set(t.split())) - 1e-9)
+             for ts in notices.values() for t in ts]
+    return reduce(or_, tests)
+
+
+def _stretches(words: Column, run: int) -> Column:
+    """``words`` in stretches of 2 ``run`` words, each ``run`` words after the last: every run is whole in one."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - run, F.lit(1)), F.lit(run))
+    return F.transform(starts, lambda at: F.slice(words, at, F.lit(2 * run)))
+
+
 def _literals(words: list[str]) -> Column:
     return F.array(*[F.lit(w) for w in words])
 
@@ -99,33 +123,39 @@ def _literals(words: list[str]) -> Column:
 def find_notices(blocks: DataFrame, notices: dict[str, list[str]] = NOTICES, threshold: float = THRESHOLD) -> DataFrame:
     """(row, block, label, containment) of every block that holds a notice.
 
-    ``blocks`` has row, block and words: the block's distinct words that
-    belong to any notice.
+    ``blocks`` has row, block, words (the block's distinct words that belong
+    to any notice) and stretch: null for a line, else the words in order, of
+    which each run as long as the notice is compared.
     """
     spark = blocks.sparkSession
     held = {r["word"]: r["n"] for r in blocks.select(F.explode("words").alias("word")).groupBy("word")
             .agg(F.count(F.lit(1)).alias("n")).collect()}  # at most the notices' words
-    texts = [(label, sorted(set(t.split()))) for label, ts in notices.items() for t in ts]
-    order = sorted({w for _, ws in texts for w in ws}, key=lambda w: (held.get(w, 0), w))
+    texts = [(label, sorted(set(t.split())), _run(t, threshold)) for label, ts in notices.items() for t in ts]
+    order = sorted({w for _, ws, _ in texts for w in ws}, key=lambda w: (held.get(w, 0), w))
     rows = []
-    for number, (label, words) in enumerate(texts):
+    for number, (label, words, run) in enumerate(texts):
         words = sorted(words, key=order.index)
         need = ceil(threshold * len(words) - 1e-9)
         for p, word in enumerate(words[:len(words) - need + 1]):
             rows.append(F.struct(F.lit(word).alias("word"), F.lit(number).alias("notice"), F.lit(label).alias("label"),
                                  F.lit(p).alias("p"), F.lit(len(words)).alias("size"), F.lit(need).alias("need"),
-                                 _literals(words).alias("notice_words")))
+                                 F.lit(run).alias("run"), _literals(words).alias("notice_words")))
     prefixes = F.broadcast(spark.range(1).select(F.inline(F.array(*rows))))  # a few words per notice
-    least = min(ceil(threshold * len(ws) - 1e-9) for _, ws in texts)
+    least = min(ceil(threshold * len(ws) - 1e-9) for _, ws, _ in texts)
     ranked = (blocks.withColumn("words", F.array_intersect(_literals(order), F.col("words")))  # in the global order
               .withColumn("n", F.size("words")).filter(F.col("n") >= least))
-    heads = ranked.select("row", "block", "words", "n",
+    heads = ranked.select("row", "block", "words", "n", "stretch",
                           F.posexplode(F.slice("words", F.lit(1), F.col("n") - least + 1)).alias("q", "word"))
     left = 1 + F.least(F.col("size") - F.col("p"), F.col("n") - F.col("q")) - 1
     pairs = heads.join(prefixes, "word").filter((F.col("n") >= F.col("need")) & (F.col("q") <= F.col("n") - F.col("need"))
                                                 & (left >= F.col("need")))
     both = F.size(F.array_intersect("words", "notice_words"))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("stretch") - F.col("run") + 1, F.lit(1)))
+    in_run = F.array_max(F.transform(starts, lambda at: F.size(
+        F.array_intersect(F.slice("stretch", at, F.col("run")), F.col("notice_words")))))
     return (pairs.withColumn("both", both).filter(F.col("both") >= F.col("need"))
+            .withColumn("both", F.when(F.col("stretch").isNull(), F.col("both")).otherwise(in_run))
+            .filter(F.col("both") >= F.col("need"))
             .select("row", "block", "label", (F.col("both") / F.col("size")).alias("containment")))
 
 
@@ -139,14 +169,22 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str,
     keep = keep if keep is not None else docs.columns
     vocab = sorted({w for ts in notices.values() for t in ts for w in t.split()})
     made = ["n_words", "n_base", "first_word", "last_word", "base_found"]
-    keep = [c for c in keep if c not in (*made, "base_labels", "labels", "score", "__row", "__blocks")]
+    keep = [c for c in keep if c not in (*made, "base_labels", "labels", "score", "__row", "__blocks", "__stretches")]
     base = scan_phrases(docs, phrases)
-    blocks = F.transform(F.split("__lined", "\n"),
-                         lambda line: F.array_intersect(_literals(vocab), F.split(line, " ")))
-    base = cut(base.select(*keep, *made, F.filter(blocks, lambda b: F.size(b) > 0).alias("__blocks"),
+    lines = F.transform(F.split("__lined", "\n"),
+                        lambda line: F.array_intersect(_literals(vocab), F.split(line, " ")))
+    base = base.withColumn("__blocks", F.filter(lines, lambda b: F.size(b) > 0))
+    longest = max(_run(t, threshold) for ts in notices.values() for t in ts)
+    stretches = F.filter(_stretches(F.split(F.trim("__lined"), "[ \n]+"), longest),
+                         lambda s: _may_hold(s, notices, threshold))
+    wrapped = F.col("__lined").contains("\n") & _may_hold(F.array_distinct(F.flatten("__blocks")), notices, threshold)
+    base = cut(base.select(*keep, *made, "__blocks", F.when(wrapped, stretches).alias("__stretches"),
                            F.monotonically_increasing_id().alias("__row")))
-    lines = base.select(F.col("__row").alias("row"), F.posexplode("__blocks").alias("block", "words"))
-    found = find_notices(lines, notices, threshold).groupBy(F.col("row").alias("__row")).agg(
+    of_lines = F.transform("__blocks", lambda b: F.struct(b.alias("words"), F.lit(None).cast("array<string>").alias("stretch")))
+    of_runs = F.transform(F.coalesce("__stretches", F.array().cast("array<array<string>>")),
+                          lambda s: F.struct(F.array_intersect(_literals(vocab), s).alias("words"), s.alias("stretch")))
+    blocks = base.select(F.col("__row").alias("row"), F.posexplode(F.concat(of_lines, of_runs)).alias("block", "b"))
+    found = find_notices(blocks.select("row", "block", "b.*"), notices, threshold).groupBy(F.col("row").alias("__row")).agg(
         F.collect_set("label").alias("__labels"), F.max("containment").alias("__best"))
     labels = F.array_sort(F.array_distinct(F.concat("base_found", F.coalesce("__labels", F.array().cast("array<string>")))))
     score = F.greatest(F.coalesce("__best", F.lit(0.0)), F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.lit(0.0)))

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -429,6 +430,32 @@ def test_scan_equals_brute_force(shipped):
         assert got == brute_scan(text), text
 
 
+def wrap(text, width, margin=""):
+    return "\n".join(margin + line for line in textwrap.wrap(text, width, break_long_words=False))
+
+
+def test_notices_over_line_breaks_are_found(shipped):
+    cases = [(label, t) for label, ts in license_scan.NOTICES.items() for t in ts]
+    other = "some words of prose stand before and after all that is looked for here "
+    texts = [wrap(other * lead + t + " " + other * 9, width, margin) for _, t in cases
+             for lead, width, margin in ((0, 70, ""), (7, 40, " * "), (12, 1, "# "))]
+    docs = shipped.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in license_scan.scan(docs, keep=["doc_id"]).collect()}
+    for i, text in enumerate(texts):
+        assert cases[i // 3][0] in got[i]["labels"].split(",") and got[i]["score"] == 1.0, text
+
+
+def test_words_of_a_notice_far_apart_on_many_lines_are_no_notice(shipped):
+    words = license_scan.NOTICES["mit-notice"][1].split()
+    texts = ["\n".join(f"{w} prose" for w in words), "\n".join(words), "\n".join(words[2:-1]), "\n".join(words[3:-2])]
+    docs = shipped.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in license_scan.scan(docs, keep=["doc_id"]).collect()}
+    assert got[0] == ("", 0.0) and got[1] == ("mit-notice", 1.0)
+    for i in (2, 3):
+        share = len(set(texts[i].split())) / len(set(words))
+        assert got[i] == (("mit-notice", share) if share >= 0.9 else ("", 0.0))
+
+
 def test_scan_edges(shipped):
     docs = clash(edge_docs(shipped))
     out = license_scan.scan(docs)
