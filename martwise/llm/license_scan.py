@@ -1,10 +1,12 @@
 """License scans: phrases, and an exact containment join against notices
 (native: DataFrame functions only).
 
-Every line of a text is a block, and so is every run of words across line
+Every line of a text is a block (a line longer than two of the longest runs in
+overlapping stretches of that length), and so is every run of words across line
 breaks that is as long as the notice (its words over ``THRESHOLD``), so a
 notice wrapped over lines is compared whole.  A notice is found in a block if
-the block holds ``THRESHOLD`` or more of the notice's distinct words.  Runs are
+the block holds ``THRESHOLD`` or more of the notice's distinct words, and all
+words that tell it from a notice of another label which holds as many.  Runs are
 taken from stretches of words that overlap by the longest run; stretches with
 too few words of every notice are left out before the join.  The join is
 exact: words are ordered by how many blocks hold them, rarest first; a block
@@ -103,6 +105,12 @@ def _run(text: str, threshold: float) -> int:
     return ceil(len(text.split()) / threshold - 1e-9)
 
 
+def _telling(words: list[str], label: str, texts: list[tuple[str, list[str], int]], need: int) -> list[str]:
+    """Words that a notice of another label lacks though it holds ``need`` of ``words``."""
+    like = [ws for other, ws, _ in texts if other != label and len(set(ws) & set(words)) >= need]
+    return [w for w in words if any(w not in ws for ws in like)]
+
+
 def _may_hold(words: Column, notices: dict[str, list[str]], threshold: float) -> Column:
     """Whether ``words`` has enough words of any notice."""
     tests = [F.size(F.array_intersect(_literals(sorted(set(t.split()))), words)) >= ceil(threshold * len(set(t.split())) - 1e-9)
@@ -139,7 +147,8 @@ def find_notices(blocks: DataFrame, notices: dict[str, list[str]] = NOTICES, thr
         for p, word in enumerate(words[:len(words) - need + 1]):
             rows.append(F.struct(F.lit(word).alias("word"), F.lit(number).alias("notice"), F.lit(label).alias("label"),
                                  F.lit(p).alias("p"), F.lit(len(words)).alias("size"), F.lit(need).alias("need"),
-                                 F.lit(run).alias("run"), _literals(words).alias("notice_words")))
+                                 F.lit(run).alias("run"), _literals(words).alias("notice_words"),
+                                 _literals(_telling(words, label, texts, need)).cast("array<string>").alias("telling")))
     prefixes = F.broadcast(spark.range(1).select(F.inline(F.array(*rows))))  # a few words per notice
     least = min(ceil(threshold * len(ws) - 1e-9) for _, ws, _ in texts)
     ranked = (blocks.withColumn("words", F.array_intersect(_literals(order), F.col("words")))  # in the global order
@@ -149,11 +158,12 @@ def find_notices(blocks: DataFrame, notices: dict[str, list[str]] = NOTICES, thr
     left = 1 + F.least(F.col("size") - F.col("p"), F.col("n") - F.col("q")) - 1
     pairs = heads.join(prefixes, "word").filter((F.col("n") >= F.col("need")) & (F.col("q") <= F.col("n") - F.col("need"))
                                                 & (left >= F.col("need")))
-    both = F.size(F.array_intersect("words", "notice_words"))
+    def shared(words: Column) -> Column:
+        told = F.size(F.array_except(F.col("telling"), words)) == 0
+        return F.when(told, F.size(F.array_intersect(words, F.col("notice_words")))).otherwise(F.lit(0))
     starts = F.sequence(F.lit(1), F.greatest(F.size("stretch") - F.col("run") + 1, F.lit(1)))
-    in_run = F.array_max(F.transform(starts, lambda at: F.size(
-        F.array_intersect(F.slice("stretch", at, F.col("run")), F.col("notice_words")))))
-    return (pairs.withColumn("both", both).filter(F.col("both") >= F.col("need"))
+    in_run = F.array_max(F.transform(starts, lambda at: shared(F.slice("stretch", at, F.col("run")))))
+    return (pairs.withColumn("both", shared(F.col("words"))).filter(F.col("both") >= F.col("need"))
             .withColumn("both", F.when(F.col("stretch").isNull(), F.col("both")).otherwise(in_run))
             .filter(F.col("both") >= F.col("need"))
             .select("row", "block", "label", (F.col("both") / F.col("size")).alias("containment")))
@@ -171,10 +181,10 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str,
     made = ["n_words", "n_base", "first_word", "last_word", "base_found"]
     keep = [c for c in keep if c not in (*made, "base_labels", "labels", "score", "__row", "__blocks", "__stretches")]
     base = scan_phrases(docs, phrases)
-    lines = F.transform(F.split("__lined", "\n"),
-                        lambda line: F.array_intersect(_literals(vocab), F.split(line, " ")))
-    base = base.withColumn("__blocks", F.filter(lines, lambda b: F.size(b) > 0))
     longest = max(_run(t, threshold) for ts in notices.values() for t in ts)
+    lines = F.flatten(F.transform(F.split("__lined", "\n"), lambda line: F.transform(
+        _stretches(F.split(line, " "), longest), lambda words: F.array_intersect(_literals(vocab), words))))
+    base = base.withColumn("__blocks", F.filter(lines, lambda b: F.size(b) > 0))
     stretches = F.filter(_stretches(F.split(F.trim("__lined"), "[ \n]+"), longest),
                          lambda s: _may_hold(s, notices, threshold))
     wrapped = F.col("__lined").contains("\n") & _may_hold(F.array_distinct(F.flatten("__blocks")), notices, threshold)
