@@ -39,14 +39,23 @@ def keep_first_with_id(df: DataFrame, keys: Sequence[str], id_col: str,
     """Q22 fix: only rows with a real (non-blank) id are deduplicated; rows
     without one are all kept (and counted by the quality checks).
 
-    One aggregate, one scan: a row without a real id gets a hash of its
-    sequence and columns as an extra grouping value, so it forms a group of
-    its own.  The value depends on the row alone, so a task that is run
-    again sends the row to the same group."""
+    One aggregate, one scan: a row without a real id gets its sequence, its
+    columns and its input partition as an extra grouping value, so it shares
+    a group only with equal rows; these are counted and written out as often
+    again.  Which equal rows share a group does not matter to the result, so
+    a task that is run again gives the same; a row with many copies is
+    counted per partition and does not land in one task."""
     real = F.coalesce(has_real_id(id_col), F.lit(False))
-    solo = "_solo"
+    solo, copies = "_solo", "_copies"
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    own = F.xxhash64(*order, *[F.col(c) for c in df.columns])
-    staged = df.withColumn(solo, F.when(real, F.lit(None).cast("bigint")).otherwise(own))
+    own = F.struct(F.spark_partition_id().alias("_part"), *[o.alias(f"_o{i}") for i, o in enumerate(order)],
+                   *[F.col(c).alias(f"_c{i}") for i, c in enumerate(df.columns)])
+    staged = df.withColumn(solo, F.when(~real, own))
     cols = list(columns) if columns is not None else df.columns
-    return keep_first(staged, [*keys, solo], order_by, cols)
+    packed = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)],
+                      F.struct(*[F.col(c) for c in cols]).alias("_row"))
+    firsts = (staged.groupBy(*keys, solo)
+              .agg(F.min(packed).alias("_first"), F.count(F.lit(1)).alias(copies)))
+    times = F.when(F.col(solo).isNull(), F.lit(1).cast("bigint")).otherwise(F.col(copies))
+    return (firsts.select("_first", F.explode(F.sequence(F.lit(1).cast("bigint"), times)).alias("_copy"))
+            .select(*[F.col(f"_first._row.{c}").alias(c) for c in cols]))
