@@ -1,14 +1,14 @@
 """Quality classifier: hashed word n-gram logistic regression.
 
 The model is trained with follow-the-regularised-leader updates on at most
-``TRAIN_ROWS`` labelled documents (drawn by a hash of the id) and scores
+``TRAIN_ROWS`` labelled documents (drawn by a hash of the id, one for each id) and scores
 every document as a sparse dot product.  Features come from the text alone.
 
 Defined cases: labels that are null, other than 0 and 1, contradictory for
 an id, or of held-out ids are not learnt from.  Without labels of both kinds
 the score is the smoothed share of label 1.  Null, empty and wordless texts
-get the score of the bias.  Documents that share an id are each scored (and
-each learnt from).  An empty table gives an empty result.  Columns named
+get the score of the bias.  Documents that share an id are each scored; the one
+whose text has the lowest hash is learnt from.  An empty table gives an empty result.  Columns named
 like a result column are replaced.
 """
 
@@ -32,12 +32,14 @@ CUT = 0.7
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, column: str, rows: int = TRAIN_ROWS) -> DataFrame:
-    """(label, text) of at most ``rows`` ids outside the held-out part."""
+    """(doc_id, label, text) of at most ``rows`` ids outside the held-out part, one row an id."""
     known = (labels.filter(F.col(column).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.min(column).alias("label"), F.max(column).alias("__high"))
              .filter(F.col("label") == F.col("__high")).select("doc_id", "label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)  # bounded: `rows` pairs of numbers
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
+    held = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    first = F.min(F.struct(F.col("text").isNull(), F.xxhash64("text"), F.col("text").alias("text")))  # combined before the shuffle
+    return held.groupBy("doc_id", "label").agg(first.alias("__first")).select("doc_id", "label", "__first.text")
 
 
 def _feature_rows(bits: int):
