@@ -2,8 +2,8 @@
 
 Each task writes one archive: a skippable frame that holds the dictionary,
 then every record as a frame of its own.  The dictionary is built from a
-bounded sample of the pages (``SAMPLE`` by a hash of the text, each of at
-most ``SAMPLE_BYTES``).  Of the records with one payload that with the
+bounded sample of the unlike pages (about ``SAMPLE`` by a hash of the digest;
+of those over ``SAMPLE_BYTES`` the first quarter as many characters).  Of the records with one payload that with the
 smallest page id is the response; the others are revisits, which name it and
 carry no payload.
 
@@ -48,9 +48,11 @@ def digest_of(payload: bytes) -> str:
 
 def build_dictionary(pages: DataFrame, sample: int = SAMPLE, size: int = DICTIONARY_BYTES) -> bytes:
     """The dictionary, built in one task from the bounded sample."""
-    usable = pages.select("html").filter(F.length("html").between(1, SAMPLE_BYTES // 4))
-    n = usable.count()
-    share = usable.filter(F.pmod(F.xxhash64("html"), F.lit(max(1, n // sample))) == 0).limit(2 * sample)
+    usable = pages.select("html", F.sha1(F.col("html").cast("binary")).alias("digest")).filter(F.length("html") > 0)
+    n = usable.select("digest").distinct().count()
+    start = F.when(F.octet_length("html") <= SAMPLE_BYTES, F.col("html")).otherwise(F.substring("html", 1, SAMPLE_BYTES // 4))
+    share = (usable.filter(F.pmod(F.xxhash64("digest"), F.lit(max(1, n // sample))) == 0)
+             .groupBy("digest").agg(F.min(start).alias("html")).select("html").limit(2 * sample))
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard

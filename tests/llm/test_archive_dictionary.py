@@ -1,0 +1,24 @@
+"""The dictionary's sample: long pages give their beginning, copies count once."""
+
+import random
+
+from martwise.llm import warc
+
+
+def long_page(rng):
+    return " ".join(rng.choice(["<p>", "</p>", "<a href='/x'>", "page", "word"]) + str(rng.randrange(5000)) for _ in range(9000))
+
+
+def test_long_pages_give_a_dictionary(spark):
+    rng = random.Random(2)
+    rows = [(i, "u", long_page(rng)) for i in range(12)]
+    assert min(len(h) for _, _, h in rows) > warc.SAMPLE_BYTES
+    assert len(warc.build_dictionary(spark.createDataFrame(rows, "page_id long, url string, html string"))) > 0
+
+
+def test_copies_of_a_page_do_not_fill_the_sample(spark):
+    own = [f"<html>page {i} of its own</html>" for i in range(5)]
+    rows = [(i, "u", "<html>copies</html>") for i in range(400)] + [(1000 + i, "u", t) for i, t in enumerate(own)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    raw = warc.build_dictionary(pages, sample=10)  # too little text to train on: the sample itself
+    assert raw == "".join(sorted(["<html>copies</html>", *own])).encode()
