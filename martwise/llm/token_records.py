@@ -242,7 +242,8 @@ def write_records(docs: DataFrame, model: str, end_id: int = 1, folder: str | No
                 {"shard": pa.array([TaskContext.get().partitionId()], pa.int32()), "records": [path], "index": [index_path],
                  "docs": pa.array([docs_n], pa.int64()), "ids": pa.array([ids_n], pa.int64())})
 
-    ordered = (docs.select("doc_id", "text").repartitionByRange("doc_id")
+    # the hash deals out the texts of a common id
+    ordered = (docs.select("doc_id", "text").repartitionByRange("doc_id", F.xxhash64("text"))
                .sortWithinPartitions("doc_id", F.xxhash64("text")))
     manifest = cut(ordered.mapInArrow(write, MANIFEST))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
