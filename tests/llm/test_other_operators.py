@@ -221,3 +221,9 @@ def test_jaccard_query_columns(shipped):
     out = QUERIES["op4_ngram_jaccard"](shipped, SF001)
     assert out.columns == ["doc_id", "class_id", "n_links", "kept"]
     assert ngram_jaccard.BANDS * ngram_jaccard.ROWS == ngram_jaccard.HASHES
+
+
+def test_vectors_recall_on_a_large_grid(shipped, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "MIN_CODES", 32)
+    recall, _ = check_vectors(shipped, vector_rows())
+    assert recall >= 0.9
