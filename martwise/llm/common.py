@@ -57,6 +57,14 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage(df: DataFrame) -> DataFrame:
+    """``cut``, then let the driver's collector find the shuffles that nothing
+    needs any more, so that Spark removes their files from the executors."""
+    out = cut(df)
+    df.sparkSession._jvm.System.gc()
+    return out
+
+
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a stored ``df`` for broadcast if its counted rows are within ``limit``."""
     return F.broadcast(df) if df.count() <= limit else df
@@ -93,5 +101,5 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
 
 
-__all__ = ["SPACE", "WORD", "BROADCAST_ROWS", "read", "shared_dir", "cut", "small", "ship",
+__all__ = ["SPACE", "WORD", "BROADCAST_ROWS", "read", "shared_dir", "cut", "stage", "small", "ship",
            "word_count", "held_out"]
