@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwise.llm import (embedding_dedup, license_scan, mixing, ngram_jaccard, piece_encoding, quality_classifier,
-                          quality_rules, substring_dedup, token_records, toxicity, warc)
+                          quality_rules, spelling_variants, substring_dedup, token_records, toxicity, warc)
 from martwise.llm.common import cut, held_out, read, ship
 
 
@@ -85,6 +85,10 @@ def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -102,4 +106,4 @@ def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 QUERIES = {fn.__name__: _shipped(fn) for fn in (
     op1_mixing, op2_quality_rules, op3_token_records, op4_ngram_jaccard, op5_toxicity, op6_piece_encoding,
     op7_quality_classifier, op8_embedding_dedup, op9_warc, op10_license_scan,
-    op11_substring_dedup, pipeline)}
+    op11_substring_dedup, op12_spelling_variants, pipeline)}
