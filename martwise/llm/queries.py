@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwise.llm import (embedding_dedup, license_scan, mixing, ngram_jaccard, piece_encoding, quality_classifier,
-                          quality_rules, spelling_variants, substring_dedup, token_records, toxicity, warc)
+from martwise.llm import (embedding_dedup, license_scan, mixing, ngram_jaccard, periodic_runs, piece_encoding,
+                          quality_classifier, quality_rules, spelling_variants, substring_dedup, token_records, toxicity, warc)
 from martwise.llm.common import cut, held_out, read, ship
 
 
@@ -89,6 +89,22 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.variants(read(spark, sf_dir, "documents"))
 
 
+def run_digests(docs: DataFrame) -> DataFrame:
+    """The strongest run of every document, and digests of all its runs and of its collapsed text."""
+    found = periodic_runs.find_runs(docs, periodic_runs.looped).withColumn("best", periodic_runs.strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))),
+                                                   F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -106,4 +122,4 @@ def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 QUERIES = {fn.__name__: _shipped(fn) for fn in (
     op1_mixing, op2_quality_rules, op3_token_records, op4_ngram_jaccard, op5_toxicity, op6_piece_encoding,
     op7_quality_classifier, op8_embedding_dedup, op9_warc, op10_license_scan,
-    op11_substring_dedup, op12_spelling_variants, pipeline)}
+    op11_substring_dedup, op12_spelling_variants, op13_periodic_runs, pipeline)}
