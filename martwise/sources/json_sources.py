@@ -3,8 +3,8 @@
 A file holds one top-level JSON array (many records) or one object (one
 record); ``multiLine`` reads both.  Gzip is not splittable, so a file is
 read by one task: many files give many tasks (S2), and one huge file
-should be landed once (``land_bronze``) so everything downstream is
-parallel (hard point H1).  Paths are any Hadoop path (file:, s3a:, gs:,
+is read in chunks (``json_chunks``, S3) and should be landed once
+(``land_bronze``) so everything downstream is parallel (hard point H1).  Paths are any Hadoop path (file:, s3a:, gs:,
 abfs:) - Spark's filesystem layer does the listing and reading.
 """
 
@@ -42,6 +42,9 @@ SOURCE_SCHEMAS = {
     "mercury_accounts": schemas.RAW_MERCURY_ACCOUNT, "mercury_transactions": schemas.RAW_MERCURY_TXN,
     "cart_events": schemas.RAW_CART_EVENT,
 }
+# Sources in one large file, or with places in their keys (W7): read record by
+# record in bounded memory.
+CHUNKED_SOURCES = ("cart_events", "mercury_transactions")
 # Column holding the position of a record: (file name, position in file)
 # is the "first" order for deduplication (hard point H3).
 SEQ = "_seq"
@@ -66,12 +69,23 @@ def read_json_gzip(spark: SparkSession, path: str | Sequence[str],
     paths = [path] if isinstance(path, str) else list(path)
     if schema is None or "line_items" not in schema.fieldNames():
         return with_file_sequence(_reader(spark, schema).json(paths))
-    texts = T.StructType([T.StructField(f.name, T.ArrayType(T.StringType())) if f.name == "line_items" else f
-                          for f in schema.fields])
-    df = with_file_sequence(_reader(spark, texts).json(paths))
+    df = with_file_sequence(_reader(spark, _item_texts(schema)).json(paths))
     return df.withColumn("line_items", parse_items(F.col("line_items"), schema["line_items"].dataType.elementType))
 
 
+def _item_texts(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.ArrayType(T.StringType())) if f.name == "line_items" else f
+                         for f in schema.fields])
+
+
+def parse_records(text: Column, schema: T.StructType) -> Column:
+    """The JSON text of a record as a struct of ``schema``, read as the file reader reads it."""
+    if "line_items" not in schema.fieldNames():
+        return F.from_json(text, schema, {"mode": "FAILFAST"})
+    r = F.from_json(text, _item_texts(schema), {"mode": "FAILFAST"})
+    return r.withField("line_items", parse_items(r["line_items"], schema["line_items"].dataType.elementType))
+
+
 def parse_items(texts: Column, item: T.StructType) -> Column:
     """Each JSON text of an array as a struct; null where it is not an object."""
     return F.transform(texts, lambda t: F.when(F.ltrim(t).startswith("{"), F.from_json(t, item)))
@@ -82,7 +96,9 @@ def with_file_sequence(df: DataFrame) -> DataFrame:
 
     ``file`` starts with the batch number in the file's name (zero-padded, so
     batch 10 sorts after batch 2), followed by its path.  A gzip file is one
-    split, so the ordinal increases within a file."""
+    split, so the ordinal increases within a file; it orders records but moves
+    with the packing of files.  Places that go into keys are counted by
+    ``json_chunks``."""
     return df.withColumn(SEQ, F.struct(file_key().alias("file"), ordinal().alias("pos")))
 
 
@@ -120,7 +136,13 @@ def source_paths(spark: SparkSession, root: str, name: str) -> list[str]:
 def read_source_if_present(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     """A named source, or None when none of its files exist."""
     paths = source_paths(spark, root, name)
-    return read_json_gzip(spark, paths, SOURCE_SCHEMAS[name]) if paths else None
+    if not paths:
+        return None
+    if name in CHUNKED_SOURCES:
+        from martwise.sources.json_chunks import read_json_chunked
+
+        return read_json_chunked(spark, paths, SOURCE_SCHEMAS[name])
+    return read_json_gzip(spark, paths, SOURCE_SCHEMAS[name])
 
 
 def read_source(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -134,7 +156,7 @@ def read_source(spark: SparkSession, root: str, name: str) -> DataFrame:
 def land_bronze(df: DataFrame, path: str, partitions: int | None = None) -> DataFrame:
     """S3 / H1: write a raw source once as Parquet, spread over many files,
     and read it back: a single huge gzip file is parsed by one task once,
-    then every later step is parallel.  Replaces reading in chunks.  By
+    then every later step is parallel.  By
     default the rows are rebalanced, so AQE cuts them into partitions of
     its advisory size whatever the file size was."""
     out = df.repartition(partitions) if partitions else df.hint("rebalance")

@@ -28,17 +28,14 @@ from martwise import schemas
 from martwise.operators.dedup import keep_first
 from martwise.plans.facts import fact_cart_events
 from martwise.sinks.tables import write_table
-from martwise.sources.json_sources import SEQ, file_key, ordinal
+from martwise.sources.json_chunks import stream_json_chunked
 
 
 def cart_event_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int = 1,
                       dedup_watermark: str | None = None) -> DataFrame:
-    """Streaming frame of raw cart-event records (plus the source file)."""
-    raw = (spark.readStream.schema(schemas.RAW_CART_EVENT)
-           .option("multiLine", True).option("mode", "FAILFAST")
-           .option("maxFilesPerTrigger", max_files_per_trigger)
-           .json(source_dir))
-    raw = raw.withColumn("_file", file_key())
+    """Streaming frame of raw cart-event records with their file and place in
+    it, the same as the batch reader gives (B10)."""
+    raw = stream_json_chunked(spark, source_dir, schemas.RAW_CART_EVENT, max_files_per_trigger)
     if dedup_watermark:
         raw = (raw.withColumn("_wm_ts", F.try_to_timestamp(F.col("timestamp")))
                   .withWatermark("_wm_ts", dedup_watermark)
@@ -49,11 +46,10 @@ def cart_event_stream(spark: SparkSession, source_dir: str, max_files_per_trigge
 
 def _batch_writer(target_path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        staged = batch.withColumn(SEQ, F.struct(F.col("_file").alias("file"), ordinal().alias("pos"))).drop("_file")
         batch.persist()  # the probe and the write read the files, and the watermark's state, once
         try:
             # idempotent per batch id: a re-run batch overwrites its own slice only
-            write_table(fact_cart_events(staged),
+            write_table(fact_cart_events(batch),
                         f"{target_path.rstrip('/')}/ingest_batch={batch_id}", "WRITE_TRUNCATE",
                         "event_timestamp", ("customer_id", "session_id", "event_type"), empty_probe=batch)
         finally:
