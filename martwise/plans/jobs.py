@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from martwise import schemas
 from martwise.operators import quality, rfm
-from martwise.plans import views
+from martwise.plans import view_sql, views
 from martwise.plans.gold import GOLD_NAMES, GoldBase
 from martwise.schemas import LAYOUT
 from martwise.sinks import tables as sinks
+from martwise.sinks import versions
 from martwise.sources import json_sources as js
 
 
@@ -44,6 +45,7 @@ def read_gold(spark: SparkSession, out_root: str, names=GOLD_NAMES) -> dict[str,
     out = {}
     for name in names:
         path = _path(out_root, name)
+        sinks.recover_table(spark, path)
         if not sinks.path_exists(spark, path):  # its source was empty on every run so far
             out[name] = spark.createDataFrame([], schemas.GOLD[name])
             continue
@@ -146,6 +148,32 @@ def run_full_pipeline(gold: GoldBase, out_root: str, as_of=None) -> DataFrame:
     return run_summary(spark, counts, quality_checks(t, as_of).unionByName(removed))
 
 
+def publish_gold(gold: GoldBase, database: str, location: str | None = None, as_of=None) -> dict[str, int]:
+    """R1 into the catalog: every gold table is published as a version of
+    ``database``'s table of that name (K1), dim_customers then once more with its
+    aggregates (K8), and the three views are stored beside them (K6).  At no
+    time does a reader find a table missing or half written.  Returns the rows
+    per table; a table whose source is empty is left as it was, or made empty."""
+    spark = gold.spark
+    sinks.create_database_if_not_exists(spark, database, location)
+    counts = {}
+    for name in GOLD_NAMES:
+        field, cluster = LAYOUT.get(name, (None, ()))
+        table = f"{database}.{name}"
+        raw = gold.raw_for(name)
+        counts[name] = 0 if raw is None else versions.publish_table(getattr(gold, name), table, field, cluster, raw)
+        if not spark.catalog.tableExists(versions.quoted(spark, table)):
+            spark.createDataFrame([], schemas.GOLD[name]).write.saveAsTable(versions.quoted(spark, table))
+    if counts["fact_orders"]:
+        field, cluster = LAYOUT["dim_customers"]
+        customers = spark.table(f"{database}.dim_customers")
+        updated = rfm.update_customer_aggregates(customers.drop(sinks.day_column(field)) if field else customers,
+                                                 spark.table(f"{database}.fact_orders"), as_of=as_of)
+        counts["dim_customers"] = versions.publish_table(updated, f"{database}.dim_customers", field, cluster, customers)
+    view_sql.store_views(spark, database, as_of)
+    return counts
+
+
 def run_extract_only(spark: SparkSession, root: str) -> DataFrame:
     """R2: records per raw source (one count job over a union of sources)."""
     parts = []

@@ -488,3 +488,7 @@ SELECT CASE event_type WHEN 'page_view' THEN 1 WHEN 'view_item' THEN 2 WHEN 'add
 FROM fact_cart_events
 WHERE event_type IN ('page_view', 'view_item', 'add_to_cart', 'begin_checkout', 'purchase')
 GROUP BY 1, 2 ORDER BY 1"""
+
+# the stored views compute what the DataFrame views do
+for _view in ("cashflow_daily", "payment_status", "customer_journey"):
+    SQL[f"{_view}_stored_view"] = SQL[_view]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from martwise.operators import quality, rfm
 from martwise.operators.dedup import keep_first
-from martwise.plans import measures, views
+from martwise.plans import measures, view_sql, views
 from martwise.plans.gold import EVENTS_AS_OF, ORDERS_AS_OF, DriverGold
 
 LINEITEM_SEQ = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -36,6 +36,14 @@ def customer_journey(spark, sf_dir):
     return views.customer_journey(g.fact_cart_events, g.dim_customers, g.fact_orders)
 
 
+def _stored_view(name, as_of=None):
+    """The view's SQL text, as the catalog stores it, over the gold tables it names."""
+    def run(spark, sf_dir):
+        g = _g(spark, sf_dir)
+        return view_sql.run_view(spark, name, {t: getattr(g, t) for t in view_sql.TABLES}, as_of)
+    return run
+
+
 def customer_aggregates(spark, sf_dir):
     g = _g(spark, sf_dir)
     return rfm.update_customer_aggregates(g.dim_customers, g.rfm_orders, as_of=ORDERS_AS_OF)
@@ -251,6 +259,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cashflow_daily": cashflow_daily,
     "payment_status": payment_status,
     "customer_journey": customer_journey,
+    "cashflow_daily_stored_view": _stored_view("vw_cashflow_daily"),
+    "payment_status_stored_view": _stored_view("vw_payment_status", ORDERS_AS_OF),
+    "customer_journey_stored_view": _stored_view("vw_customer_journey"),
     "rfm_segments": rfm_segments,
     "rfm_distribution": rfm_distribution,
     "customer_aggregates": customer_aggregates,

@@ -104,27 +104,11 @@ def create_database_if_not_exists(spark: SparkSession, name: str, location: str
 
 def save_as_table(df: DataFrame, table: str, write_disposition: str = "WRITE_TRUNCATE",
                   partition_field: str | None = None, empty_probe: DataFrame | None = None) -> int:
-    """K1/K3 against the catalog: on overwrite the table is dropped first,
-    so a changed layout never conflicts with the old one.  ``empty_probe``
-    as in ``write_table``."""
-    if (empty_probe if empty_probe is not None else df).isEmpty():
-        return 0
-    spark = df.sparkSession
-    mode = WRITE_MODES.get(write_disposition, write_disposition)
-    out = df
-    writer_parts: list[str] = []
-    if partition_field and partition_field in df.columns:
-        out = out.withColumn(day_column(partition_field), F.to_date(F.col(partition_field)))
-        writer_parts = [day_column(partition_field)]
-    if mode == "overwrite":
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-    obs = Observation("rows_saved")
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
-    w = out.write.mode(mode).format("parquet")
-    if writer_parts:
-        w = w.partitionBy(*writer_parts)
-    w.saveAsTable(table)
-    return int(obs.get["rows"])
+    """K1/K3 against the catalog: an overwrite is a new version that the table
+    moves to when it is whole, whatever the old layout was (``versions``)."""
+    from martwise.sinks.versions import save_table
+
+    return save_table(df, table, write_disposition, partition_field, empty_probe=empty_probe)
 
 
 def execute_query(spark: SparkSession, sql: str) -> DataFrame:
@@ -133,7 +117,7 @@ def execute_query(spark: SparkSession, sql: str) -> DataFrame:
 
 
 def create_views(views: dict[str, Callable[[], DataFrame]]) -> dict[str, bool]:
-    """K6: create or replace each view; a view that fails to build is
+    """K6 for this session (``plans.view_sql.store_views`` for the catalog): create or replace each view; a view that fails to build is
     logged and skipped, the others are still created."""
     done = {}
     for name, build in views.items():
@@ -160,23 +144,55 @@ def table_info(spark: SparkSession, path: str, name: str | None = None) -> DataF
                    .select(F.lit(name or path).alias("table_name"), "*")
 
 
+def rename_path(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a folder within its file system; an error if that fails."""
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (old, new))
+    system = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(target.getParent())
+    if not system.rename(source, target):
+        raise OSError(f"cannot rename {old} to {new}")
+
+
+def _set_aside(path: str) -> str:
+    return path.rstrip("/") + "__replaced"
+
+
+def recover_table(spark: SparkSession, path: str) -> bool:
+    """Put back the table that a replace had set aside when it was cut off; true if it did."""
+    if path_exists(spark, path) or not path_exists(spark, _set_aside(path)):
+        return False
+    rename_path(spark, _set_aside(path), path)
+    return True
+
+
 def replace_table(df: DataFrame, path: str, partition_field: str | None = None,
                   clustering_fields: Sequence[str] | None = None, staging_root: str | None = None,
                   empty_probe: DataFrame | None = None) -> int:
     """K8 / H8: overwrite a table with a frame that reads that same table.
 
-    Spark cannot overwrite a path it is reading (the old files are deleted
-    before they are read).  So the result is first written to a staging
-    path in the same shared storage, then copied over the target by a
-    second job that reads only the staging copy.  The copy is removed once
-    the target is whole; it stays if the second job fails."""
+    The result is written whole to a staging path in the same file system,
+    once.  Then the live folder is set aside and the staging folder renamed to
+    its place.  A job that dies while writing leaves the live table as it was;
+    one that dies between the two renames leaves it set aside, and
+    ``recover_table`` (called here and by the readers of the gold tables) puts
+    it back.  Where renaming a folder copies it (object stores), or where
+    readers may not see the gap, publish versions in the catalog instead
+    (``versions.publish_table``)."""
+    spark = df.sparkSession
+    recover_table(spark, path)
     staging = f"{staging_root or path.rstrip('/') + '__staging'}/{uuid.uuid4().hex}"
-    n = write_table(df, staging, "WRITE_TRUNCATE", partition_field, clustering_fields, empty_probe)
+    if partition_field and day_column(partition_field) in df.columns:
+        df = df.drop(day_column(partition_field))
+    n = write_table(df, staging, "WRITE_EMPTY", partition_field, clustering_fields, empty_probe)
     if n == 0:
         return 0
-    staged = df.sparkSession.read.parquet(staging)
-    if partition_field:
-        staged = staged.drop(day_column(partition_field))
-    n = write_table(staged, path, "WRITE_TRUNCATE", partition_field, clustering_fields)
-    delete_path(df.sparkSession, staging)
+    if path_exists(spark, path):
+        delete_path(spark, _set_aside(path))  # left by a replace that ended after its renames
+        rename_path(spark, path, _set_aside(path))
+    try:
+        rename_path(spark, staging, path)
+    except Exception:
+        recover_table(spark, path)
+        raise
+    delete_path(spark, _set_aside(path))
     return n
