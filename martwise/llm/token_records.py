@@ -107,10 +107,6 @@ def payload(doc_id: int | None, width: int, ids: bytes) -> bytes:
     return HEAD.pack(doc_id is not None, width, doc_id or 0, len(ids) // width) + ids
 
 
-def record_tokens(item: bytes) -> int:
-    return HEAD.unpack(item[:HEAD.size])[3]
-
-
 def frame(items: list[bytes]) -> list[bytes]:
     """The frames of payloads."""
     sizes = [struct.pack("<Q", len(x)) for x in items]
@@ -122,9 +118,10 @@ class WordTokenizer:
     """Ids of a word-level BPE tokenizer, each word looked up once.
 
     The tokenizer lower-cases, splits at white space and then into pieces
-    that do not depend on each other, so a piece's ids are kept.  Texts with
-    characters beyond U+024F (where case and normal forms need more rules)
-    go to the library whole.
+    that do not depend on each other, so the ids of words and pieces are kept.
+    A piece taken alone is one piece, so both share one table.  Texts that
+    have a character beyond U+024F, before or after lower-casing (where case
+    and normal forms need more rules), go to the library whole.
     """
 
     LIMIT = 300_000
@@ -152,48 +149,58 @@ class WordTokenizer:
         kinds = {k: "".join(re.escape(chr(i)) for i in range(0x250) if unicodedata.category(chr(i))[0] == k) for k in "LN"}
         blank = "\t-\r \x85\xa0"
         self.split = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{kinds['L']}]+|[{kinds['N']}]|[^{blank}{kinds['L']}{kinds['N']}]+").findall
-        self.odd = re.compile("[^\x00-ɏ]|[\x1c-\x1f]|<\\|").search
-        self.known: dict[str, bytes] = {}
+        self.beyond = re.compile("[^\x00-ɏ]").search
         self.words: dict[str, bytes] = {}
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.known) > self.LIMIT:
-            self.known.clear()
-        split = list(map(self.split, words))
-        new = list(set().union(*split).difference(self.known))
+    def plain(self, text: str) -> str | None:
+        """The lower-cased text; None if the library must read the text whole."""
+        if "<|" in text or "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
+            return None
+        low = text.lower()
+        if text.isascii() or not (self.beyond(text) or self.beyond(low)):
+            return low
+        return None
+
+    def _learn(self, words: set[str]) -> None:
+        known = self.words
+        new = {w for w in words if w.isalpha()}  # one piece
+        parts = [(w, self.split(w)) for w in words.difference(new)]
+        new.update(p for _, own in parts for p in own if p not in known)
         if new:
-            ids = np.array(self.pieces.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, self.dtype)
+            pieces = list(new)
+            ids = np.array(self.pieces.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids, self.dtype)
             ends = (np.flatnonzero(self.last[ids]) + 1) * self.width
-            if len(ends) != len(new):
+            if len(ends) != len(pieces):
                 raise ValueError("the tokenizer does not mark the ends of words")
             raw, at = ids.tobytes(), 0
-            for piece, end in zip(new, ends.tolist()):
-                self.known[piece] = raw[at:end]
+            for piece, end in zip(pieces, ends.tolist()):
+                known[piece] = raw[at:end]
                 at = end
-        get = self.known.__getitem__
-        for word, parts in zip(words, split):
-            self.words[word] = b"".join(map(get, parts))
+        get = known.__getitem__
+        for word, own in parts:
+            known[word] = b"".join(map(get, own))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids of every text."""
-        plain = [None if t is None or self.odd(t) else t.lower().split() for t in texts]
-        for k in range(0, len(plain), 64):
-            wanted = set().union(*(w for w in plain[k:k + 64] if w))
+        out: list[bytes] = []
+        for k in range(0, len(texts), 64):
+            part = [self.plain(t) if t else "" for t in texts[k:k + 64]]
+            part = [None if t is None else t.split() for t in part]
+            wanted = set().union(*(w for w in part if w))
             new = wanted.difference(self.words)
             if len(self.words) + len(new) > self.LIMIT:  # start over with what is needed now
                 self.words.clear()
                 new = wanted
             if new:
-                self._learn(list(new))
-            for i in range(k, min(k + 64, len(plain))):
-                if plain[i] is not None:
-                    plain[i] = b"".join(map(self.words.__getitem__, plain[i]))
-                elif texts[i]:
-                    ids = self.whole.encode(texts[i], add_special_tokens=False).ids
-                    plain[i] = np.array(ids, self.dtype).tobytes()
+                self._learn(new)
+            get = self.words.__getitem__
+            for text, words in zip(texts[k:k + 64], part):
+                if words is None:
+                    ids = self.whole.encode(text, add_special_tokens=False).ids
+                    out.append(np.array(ids, self.dtype).tobytes())
                 else:
-                    plain[i] = b""
-        return plain
+                    out.append(b"".join(map(get, words)))
+        return out
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -225,9 +232,9 @@ def write_records(docs: DataFrame, model: str, end_id: int = 1, folder: str | No
                     end = np.array([end_id], tok.dtype).tobytes()
                     path, out = storage.create(folder, ".records")
                     index_path, index = storage.create(folder, ".index")
-                body = [payload(doc_id, tok.width, ids + end) for doc_id, ids in
-                        zip(piece.column(0).to_pylist(), tok.encode(piece.column(1).to_pylist()))]
-                ids_n += sum(record_tokens(x) for x in body)
+                coded = tok.encode(piece.column(1).to_pylist())
+                body = [payload(doc_id, tok.width, ids + end) for doc_id, ids in zip(piece.column(0).to_pylist(), coded)]
+                ids_n += sum(map(len, coded)) // tok.width + len(coded)
                 marks = []
                 for x in frame(body):
                     out.write(x)
