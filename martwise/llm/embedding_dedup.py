@@ -113,6 +113,7 @@ def _unit(parts: pd.Series | list, width: int) -> np.ndarray:
     x = np.zeros((len(parts), width))
     for k, v in enumerate(parts):
         x[k, :len(v)] = v
+    x /= np.abs(x).max(axis=1)[:, None]  # the squares of very large or small components leave the doubles' range
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
