@@ -48,7 +48,8 @@ def _rules() -> str:
     moments = ", ".join(f"sum({r}) OVER () / sum(n) OVER () AS {r}_p, "
                         f"coalesce(var_samp({r} / n) OVER (), 0) AS {r}_var" for r in q.RULES)
     between = ", ".join(f"{r}_var - {r}_p * (1 - {r}_p) * inverse_n / hosts AS {r}_b" for r in q.RULES)
-    strength = ", ".join(f"CASE WHEN {r}_b > 0 AND {r}_p * (1 - {r}_p) > {r}_b THEN {r}_p * (1 - {r}_p) / {r}_b - 1 ELSE 1.0 END AS {r}_k"
+    # a prior worth between one document and all of them; all where the hosts show no difference of their own
+    strength = ", ".join(f"CASE WHEN {r}_b <= 0 THEN all_n ELSE greatest(1.0, least(all_n, {r}_p * (1 - {r}_p) / {r}_b - 1)) END AS {r}_k"
                          for r in q.RULES)
     shrunk = ", ".join(f"({r} + {r}_k * {r}_p) / (n + {r}_k) AS {r}_rate" for r in q.RULES)
     bad = " OR ".join(f"({r}_rate - {q.DOUBT} * sqrt({r}_rate * (1 - {r}_rate) / (n + {r}_k + 1)) > {q.MAX_RATE})" for r in q.RULES)
@@ -74,7 +75,7 @@ flags AS (
          100 * n_symbols > {q.SYMBOL_SHARE} * n_words AS symbols_failed, n_dup_lines > {q.DUP_LINES} AS lines_failed
   FROM base),
 per AS (SELECT source, count(*) AS n, {rules} FROM flags GROUP BY source),
-moments AS (SELECT *, {moments}, count(*) OVER () AS hosts, sum(1.0 / n) OVER () AS inverse_n FROM per),
+moments AS (SELECT *, {moments}, CAST(sum(n) OVER () AS DOUBLE) AS all_n, count(*) OVER () AS hosts, sum(1.0 / n) OVER () AS inverse_n FROM per),
 between_hosts AS (SELECT *, {between} FROM moments),
 priors AS (SELECT *, {strength} FROM between_hosts),
 rates AS (SELECT *, {shrunk} FROM priors),

@@ -7,8 +7,8 @@ rate is above the limit beyond doubt (mean less ``doubt`` posterior standard
 deviations) is rejected.  The verdicts are joined back to the documents.
 
 Defined cases: a null host is a host of its own.  A null or empty text has
-no words and fails.  With one host, or hosts that all agree, the prior falls
-back to one pseudo document at the pooled rate.  An empty table gives an
+no words and fails.  The prior counts as at least one and at most all documents;
+with one host, or hosts that differ no more than sampling makes them, as all.  An empty table gives an
 empty result.  Columns named like a result column are replaced.
 """
 
@@ -104,7 +104,9 @@ def host_verdicts(scored: DataFrame, host: str = "source", max_rate: float = MAX
         spread = pooled * (1 - pooled)
         # variance between hosts = variance of the rates less what sampling adds
         between = F.col(f"{r}_var") - spread * F.col("inverse_n") / F.col("hosts")
-        strength = F.when((between > 0) & (spread > between), spread / between - 1).otherwise(F.lit(1.0))
+        # hosts that differ no more than sampling makes them are all alike: the strongest prior, all documents
+        strength = (F.when(between <= 0, F.col("all_n"))
+                    .otherwise(F.greatest(F.lit(1.0), F.least(spread / between - 1, F.col("all_n").cast("double")))))
         a = F.col(r) + strength * pooled
         n = F.col("n") + strength
         rate = a / n
