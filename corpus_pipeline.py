@@ -5,7 +5,8 @@ Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept;
 its result is written as Parquet and read again as the next one's ``docs``.
 All but the last return the columns of ``documents``.
 
-Defined cases: documents without words are rejected by the quality rules;
+Defined cases: without labels of both kinds the classifier keeps every document;
+documents without words are rejected by the quality rules;
 null ids, repeated rows and empty tables are handled as each operator states.
 """
 
@@ -20,9 +21,11 @@ from martwise.llm.queries import piece_model
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier predicts as good stay."""
+    """Documents that the quality classifier predicts as good stay; all, where the labels fit no model."""
     ship(spark)
     model = quality_classifier.train(docs, read(spark, sf_dir, "labels"))
+    if not len(model[1]):  # no weights: labels of both kinds are missing
+        return docs
     return quality_classifier.score(docs, model).filter(F.col("predicted") == 1).select(*docs.columns)
 
 
