@@ -83,10 +83,12 @@ def amount_stats_many(specs: Sequence[tuple[DataFrame, Sequence[str], str, bool]
     """DQ4 / A7 + A11: mean, exact median, sample std, negatives, > 3 sigma
     for every (table, amount column) in ``specs``, in one plan.
 
-    Each table is read into a long (table, column, value) frame.  One pass
-    gives count, mean (``avg``), std (``stddev_samp``, merged stably) and
-    negatives; a value histogram, combined map-side, gives the exact median;
-    a last pass counts the outliers against the one-row-per-column stats.
+    Each table is read into a long (table, column, value) frame and reduced to
+    one histogram, a row per distinct value with its count, combined
+    map-side.  Everything else comes from the histogram, whose exchange Spark
+    reuses, so a table is built once: count, mean and negatives; the squared
+    deviations from that mean (a second pass, which stays exact for large
+    values close together); the exact median; and the outliers.
     Mean and std are rounded to 4 and 2 places, beyond the noise that the order
     of summation leaves.  Std 0 or a single value has no outliers.
     """
@@ -101,15 +103,19 @@ def amount_stats_many(specs: Sequence[tuple[DataFrame, Sequence[str], str, bool]
     for lf in longs[1:]:
         long = long.unionByName(lf)
     keys = ["table_name", "column_name", "allow_negative"]
-    long = long.filter(F.col("x").isNotNull())
-    stats = long.groupBy(*keys).agg(F.count("x").alias("n"), F.avg("x").alias("_mean"), F.stddev_samp("x").alias("_std"),
-                                    count_if(F.col("x") < 0).alias("neg"))
-    hist = long.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c"))
+    hist = long.filter(F.col("x").isNotNull()).groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c"))
+    base = hist.groupBy(*keys).agg(F.sum("c").alias("n"), (F.sum(F.col("x") * F.col("c")) / F.sum("c")).alias("_mean"),
+                                   F.sum(F.when(F.col("x") < 0, F.col("c")).otherwise(0)).alias("neg"))
+    # the joined sides have one row per (table, column): bounded broadcasts
+    away = F.col("x") - F.col("_mean")
+    spread = (hist.join(F.broadcast(base.select(*keys, "_mean")), keys)
+              .groupBy(*keys).agg(F.sum(away * away * F.col("c")).alias("_m2")))
+    stats = base.join(F.broadcast(spread), keys).withColumn(
+        "_std", F.when(F.col("n") > 1, F.sqrt(F.col("_m2") / (F.col("n") - 1))))
     med = median_from_counts(hist, "x", "c", keys)
-    # the stats side has one row per (table, column): a bounded broadcast
-    far = (F.col("_std") > 0) & (F.abs(F.col("x") - F.col("_mean")) > 3 * F.col("_std"))
-    outl = (long.join(F.broadcast(stats.select(*keys, "_mean", "_std")), keys)
-            .groupBy(*keys).agg(count_if(far).alias("outlier_count")))
+    far = (F.col("_std") > 0) & (F.abs(away) > 3 * F.col("_std"))
+    outl = (hist.join(F.broadcast(stats.select(*keys, "_mean", "_std")), keys)
+            .groupBy(*keys).agg(F.sum(F.when(far, F.col("c")).otherwise(0)).alias("outlier_count")))
     return (stats.join(med, keys, "left").join(outl, keys, "left")
                  .select("table_name", "column_name", F.col("n").alias("value_count"),
                          F.round("_mean", 4).alias("mean"), "median", F.round("_std", 2).alias("std"),
