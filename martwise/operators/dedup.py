@@ -57,5 +57,9 @@ def keep_first_with_id(df: DataFrame, keys: Sequence[str], id_col: str,
     firsts = (staged.groupBy(*keys, solo)
               .agg(F.min(packed).alias("_first"), F.count(F.lit(1)).alias(copies)))
     times = F.when(F.col(solo).isNull(), F.lit(1).cast("bigint")).otherwise(F.col(copies))
-    return (firsts.select("_first", F.explode(F.sequence(F.lit(1).cast("bigint"), times)).alias("_copy"))
+    # in two steps, so that no array is longer than the square root of the copies, and a step at most
+    step = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.sqrt(times.cast("double"))).cast("bigint"))
+    parts = firsts.select("_first", times.alias("_times"), step.alias("_step")).select(
+        "_first", "_times", "_step", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_times") - 1, F.col("_step"))).alias("_from"))
+    return (parts.select("_first", F.explode(F.sequence(F.lit(1).cast("bigint"), F.least("_step", F.col("_times") - F.col("_from")))))
             .select(*[F.col(f"_first._row.{c}").alias(c) for c in cols]))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from martwise import schemas
 from martwise.operators import quality, rfm
-from martwise.plans import view_sql, views
+from martwise.plans import checks, view_sql, views
 from martwise.plans.gold import GOLD_NAMES, GoldBase
 from martwise.schemas import LAYOUT
 from martwise.sinks import tables as sinks
@@ -25,9 +25,10 @@ def _path(out_root: str, name: str) -> str:
     return f"{out_root.rstrip('/')}/{name}"
 
 
-def write_gold(gold: GoldBase, out_root: str, names=GOLD_NAMES) -> dict[str, int]:
+def write_gold(gold: GoldBase, out_root: str, names=GOLD_NAMES, as_of=None, observed: dict | None = None) -> dict[str, int]:
     """Phases A-E: each gold table written with its day partition and
-    clustering (K1); returns rows written per table."""
+    clustering (K1); returns rows written per table.  ``observed`` gets the
+    checks that each write has taken of its table."""
     counts = {}
     for name in names:
         field, cluster = LAYOUT.get(name, (None, ()))
@@ -35,8 +36,11 @@ def write_gold(gold: GoldBase, out_root: str, names=GOLD_NAMES) -> dict[str, int
         if raw is None:  # the source is absent: nothing to write, old table kept (K2)
             counts[name] = 0
             continue
-        counts[name] = sinks.write_table(getattr(gold, name), _path(out_root, name), "WRITE_TRUNCATE",
-                                         field, cluster, empty_probe=raw)
+        df, found = getattr(gold, name), {}
+        counts[name] = sinks.write_table(df, _path(out_root, name), "WRITE_TRUNCATE", field, cluster, empty_probe=raw,
+                                         metrics=checks.observed(name, df.columns, as_of), found=found)
+        if observed is not None and found:
+            observed[name] = found
     return counts
 
 
@@ -66,37 +70,20 @@ def gold_views(t: dict[str, DataFrame], as_of=None) -> dict[str, callable]:
     }
 
 
-def quality_checks(t: dict[str, DataFrame], as_of=None) -> DataFrame:
-    """DQ1-DQ4 of every gold table, as the DQ5 long report."""
-    nulls = [
-        quality.null_counts(t["fact_orders"], ["order_id", "customer_id", "total_vnd"], "fact_orders"),
-        quality.null_counts(t["fact_order_items"], ["order_key", "product_id"], "fact_order_items"),
-        quality.null_counts(t["fact_payments"], ["transaction_id", "amount_vnd"], "fact_payments"),
-        quality.null_counts(t["fact_cart_events"], ["event_id", "event_type", "session_id"], "fact_cart_events"),
-        quality.null_counts(t["fact_bank_transactions"], ["transaction_id", "account_id", "amount_vnd"],
-                            "fact_bank_transactions"),
-        quality.null_counts(t["dim_customers"], ["customer_id", "email"], "dim_customers"),
-        quality.null_counts(t["dim_products"], ["product_id", "product_name", "sku"], "dim_products"),
-        quality.null_counts(t["dim_locations"], ["location_id", "location_name"], "dim_locations"),
-    ]
-    dups = [quality.duplicate_counts(t[n], [k], n) for n, k in (
-        ("fact_orders", "order_key"), ("fact_payments", "payment_key"), ("fact_cart_events", "event_key"),
-        ("fact_bank_transactions", "transaction_key"), ("dim_customers", "customer_id"),
-        ("dim_products", "product_id"), ("dim_locations", "location_id"))]
-    ranges = [quality.date_range(t[n], c, n, as_of=as_of) for n, c in (
-        ("fact_orders", "order_date"), ("fact_payments", "payment_date"),
-        ("fact_cart_events", "event_timestamp"), ("fact_bank_transactions", "transaction_date"),
-        ("dim_customers", "created_at"))]
-    amounts = [quality.amount_stats_many([
-        (t["fact_orders"], ["total_vnd"], "fact_orders", False),
-        (t["fact_order_items"], ["unit_price_vnd", "line_total_vnd"], "fact_order_items", False),
-        (t["fact_payments"], ["amount_vnd"], "fact_payments", False),
-        (t["fact_bank_transactions"], ["amount_vnd", "amount_usd"], "fact_bank_transactions", True),
-        (t["dim_products"], ["price_vnd", "price_usd"], "dim_products", False)])]
-    blanks = [quality.blank_id_counts(t[n], c, n) for n, c in (
-        ("fact_orders", "order_id"), ("fact_payments", "transaction_id"), ("fact_cart_events", "event_id"),
-        ("fact_bank_transactions", "transaction_id"))]
-    return quality.quality_report(nulls, dups, ranges, amounts, blanks)
+def quality_checks(t: dict[str, DataFrame], as_of=None, observed: dict | None = None) -> DataFrame:
+    """DQ1-DQ4 of every gold table, as the DQ5 long report.  Tables in
+    ``observed`` bring their null, date and blank-id counts from their write;
+    the others are read for them."""
+    observed = observed or {}
+    read = {n: df for n, df in t.items() if n not in observed}
+    profiles = [quality.table_profile(df, n, checks.NULL_COLUMNS.get(n, ()), checks.DATE_COLUMNS.get(n), as_of,
+                                      blank_id_column=checks.BLANK_IDS.get(n))
+                for n, df in read.items() if n in checks.NULL_COLUMNS]
+    if observed:
+        profiles.append(checks.observed_report(next(iter(t.values())).sparkSession, observed))
+    dups = [quality.duplicate_counts(t[n], [k], n) for n, k in checks.DUPLICATE_KEYS.items()]
+    amounts = [quality.amount_stats_many([(t[n], cols, n, neg) for n, (cols, neg) in checks.AMOUNTS.items()])]
+    return quality.quality_report(dups=dups, amounts=amounts, profiles=profiles)
 
 
 # Tables with a row for every raw record but for removed duplicates.
@@ -135,17 +122,21 @@ def run_full_pipeline(gold: GoldBase, out_root: str, as_of=None) -> DataFrame:
     views (K6), and return the run summary (R4) with the quality report and
     the duplicates that the builders removed."""
     spark = gold.spark
-    counts = write_gold(gold, out_root)
+    observed: dict = {}
+    counts = write_gold(gold, out_root, as_of=as_of, observed=observed)
     removed = duplicates_removed(gold, counts)
     t = read_gold(spark, out_root)
     if counts.get("fact_orders", 0) > 0:
         updated = rfm.update_customer_aggregates(t["dim_customers"], t["fact_orders"], as_of=as_of)
         field, cluster = LAYOUT["dim_customers"]
-        counts["dim_customers"] = sinks.replace_table(updated, _path(out_root, "dim_customers"), field, cluster,
-                                                      empty_probe=t["dim_customers"])
+        found: dict = {}
+        counts["dim_customers"] = sinks.replace_table(
+            updated, _path(out_root, "dim_customers"), field, cluster, empty_probe=t["dim_customers"],
+            metrics=checks.observed("dim_customers", updated.columns, as_of), found=found)
+        observed.update({"dim_customers": found} if found else {})
         t = read_gold(spark, out_root)
     sinks.create_views(gold_views(t, as_of))
-    return run_summary(spark, counts, quality_checks(t, as_of).unionByName(removed))
+    return run_summary(spark, counts, quality_checks(t, as_of, observed).unionByName(removed))
 
 
 def publish_gold(gold: GoldBase, database: str, location: str | None = None, as_of=None) -> dict[str, int]:

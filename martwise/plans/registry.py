@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from martwise.operators import quality, rfm
 from martwise.operators.dedup import keep_first
-from martwise.plans import measures, view_sql, views
+from martwise.plans import checks, measures, view_sql, views
 from martwise.plans.gold import EVENTS_AS_OF, ORDERS_AS_OF, DriverGold
 
 LINEITEM_SEQ = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -106,17 +106,7 @@ def fact_bank_transactions(spark, sf_dir):
 # -- quality -----------------------------------------------------------------
 
 def _null_checks(g: DriverGold) -> list[DataFrame]:
-    return [
-        quality.null_counts(g.fact_orders, ["order_id", "customer_id", "total_vnd"], "fact_orders"),
-        quality.null_counts(g.fact_order_items, ["order_key", "product_id"], "fact_order_items"),
-        quality.null_counts(g.fact_payments, ["transaction_id", "amount_vnd"], "fact_payments"),
-        quality.null_counts(g.fact_cart_events, ["event_id", "event_type", "session_id"], "fact_cart_events"),
-        quality.null_counts(g.fact_bank_transactions, ["transaction_id", "account_id", "amount_vnd"],
-                            "fact_bank_transactions"),
-        quality.null_counts(g.dim_customers, ["customer_id", "email"], "dim_customers"),
-        quality.null_counts(g.dim_products, ["product_id", "product_name", "sku"], "dim_products"),
-        quality.null_counts(g.dim_locations, ["location_id", "location_name"], "dim_locations"),
-    ]
+    return [quality.null_counts(getattr(g, name), cols, name) for name, cols in checks.NULL_COLUMNS.items()]
 
 
 def _dup_checks(g: DriverGold) -> list[DataFrame]:
@@ -129,14 +119,8 @@ def _dup_checks(g: DriverGold) -> list[DataFrame]:
 
 
 def _range_checks(g: DriverGold) -> list[DataFrame]:
-    return [
-        quality.date_range(g.fact_orders, "order_date", "fact_orders", as_of=ORDERS_AS_OF),
-        quality.date_range(g.fact_payments, "payment_date", "fact_payments", as_of=ORDERS_AS_OF),
-        quality.date_range(g.fact_cart_events, "event_timestamp", "fact_cart_events", as_of=EVENTS_AS_OF),
-        quality.date_range(g.fact_bank_transactions, "transaction_date", "fact_bank_transactions",
-                           as_of=ORDERS_AS_OF),
-        quality.date_range(g.dim_customers, "created_at", "dim_customers", as_of=ORDERS_AS_OF),
-    ]
+    return [quality.date_range(getattr(g, name), column, name, as_of=AS_OF.get(name, ORDERS_AS_OF))
+            for name, column in checks.DATE_COLUMNS.items()]
 
 
 def _amount_checks(g: DriverGold) -> list[DataFrame]:
@@ -177,21 +161,8 @@ def dq_amounts(spark, sf_dir):
     return _union(_amount_checks(_g(spark, sf_dir)))
 
 
-NULL_COLUMNS = {
-    "fact_orders": ["order_id", "customer_id", "total_vnd"],
-    "fact_order_items": ["order_key", "product_id"],
-    "fact_payments": ["transaction_id", "amount_vnd"],
-    "fact_cart_events": ["event_id", "event_type", "session_id"],
-    "fact_bank_transactions": ["transaction_id", "account_id", "amount_vnd"],
-    "dim_customers": ["customer_id", "email"],
-    "dim_products": ["product_id", "product_name", "sku"],
-    "dim_locations": ["location_id", "location_name"],
-}
-DATE_COLUMNS = {
-    "fact_orders": ("order_date", ORDERS_AS_OF), "fact_payments": ("payment_date", ORDERS_AS_OF),
-    "fact_cart_events": ("event_timestamp", EVENTS_AS_OF),
-    "fact_bank_transactions": ("transaction_date", ORDERS_AS_OF), "dim_customers": ("created_at", ORDERS_AS_OF),
-}
+# the run times that the date checks of the driver data hold against
+AS_OF = {"fact_cart_events": EVENTS_AS_OF}
 
 
 def quality_report(spark, sf_dir):
@@ -199,9 +170,9 @@ def quality_report(spark, sf_dir):
     plus the duplicate and amount checks."""
     g = _g(spark, sf_dir)
     profiles = []
-    for name, cols in NULL_COLUMNS.items():
-        date_col, as_of = DATE_COLUMNS.get(name, (None, None))
-        profiles.append(quality.table_profile(getattr(g, name), name, cols, date_col, as_of))
+    for name, cols in checks.NULL_COLUMNS.items():
+        profiles.append(quality.table_profile(getattr(g, name), name, cols, checks.DATE_COLUMNS.get(name),
+                                              AS_OF.get(name, ORDERS_AS_OF)))
     return quality.quality_report(dups=_dup_checks(g), amounts=_amount_checks(g), profiles=profiles)
 
 

@@ -14,6 +14,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from martwise.operators.zorder import Z, with_z
+
 log = logging.getLogger("martwise.sinks")
 
 # Write dispositions of the warehouse API, mapped to Spark save modes.
@@ -39,7 +41,8 @@ def day_column(field: str) -> str:
 def write_table(df: DataFrame, path: str, write_disposition: str = "WRITE_TRUNCATE",
                 partition_field: str | None = None,
                 clustering_fields: Sequence[str] | None = None,
-                empty_probe: DataFrame | None = None) -> int:
+                empty_probe: DataFrame | None = None, metrics: dict | None = None,
+                found: dict | None = None, space_filling: bool = False) -> int:
     """K1 + K2 + K3: write ``df`` to ``path``; returns the rows written.
 
     * Empty input: nothing is written, the old target stays, 0 (K2).  The
@@ -54,8 +57,12 @@ def write_table(df: DataFrame, path: str, write_disposition: str = "WRITE_TRUNCA
       sorted file per day it holds.
     * Fields missing from the frame are ignored, as the warehouse did.
     * A whole-path overwrite replaces any earlier layout (K3).
+    * ``space_filling``: sort by a space-filling order of the clustering fields
+      instead of field by field (``operators.zorder``), so that filters on any
+      of them skip row groups; an unpartitioned table is also range-partitioned on it.
     The row count comes from an observation of the write job itself: no
-    second pass over the data.
+    second pass over the data.  So do ``metrics``, further aggregates by any
+    key, whose values are put into ``found``.
     """
     mode = WRITE_MODES.get(write_disposition, write_disposition)
     if (empty_probe if empty_probe is not None else df).isEmpty():
@@ -69,15 +76,23 @@ def write_table(df: DataFrame, path: str, write_disposition: str = "WRITE_TRUNCA
         out = out.withColumn(day, F.to_date(F.col(partition_field)))
         part_cols = [day]
         out = out.hint("rebalance", day)
-    if part_cols or cluster:
+    if space_filling and cluster:
+        out = with_z(out, cluster)
+        if not part_cols:
+            out = out.repartitionByRange(Z)
+        out = out.sortWithinPartitions(*part_cols, Z).drop(Z)
+    elif part_cols or cluster:
         out = out.sortWithinPartitions(*part_cols, *cluster)
     obs = Observation("rows_written")
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
+    extra = list((metrics or {}).items())
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(f"m{i}") for i, (_, c) in enumerate(extra)])
     # a session set to dynamic overwrite would leave days that are gone from the data
     writer = out.write.mode(mode).option("partitionOverwriteMode", "static")
     if part_cols:
         writer = writer.partitionBy(*part_cols)
     writer.parquet(path)
+    if found is not None:
+        found.update({k: obs.get[f"m{i}"] for i, (k, _) in enumerate(extra)})
     return int(obs.get["rows"])
 
 
@@ -167,7 +182,7 @@ def recover_table(spark: SparkSession, path: str) -> bool:
 
 def replace_table(df: DataFrame, path: str, partition_field: str | None = None,
                   clustering_fields: Sequence[str] | None = None, staging_root: str | None = None,
-                  empty_probe: DataFrame | None = None) -> int:
+                  empty_probe: DataFrame | None = None, metrics: dict | None = None, found: dict | None = None) -> int:
     """K8 / H8: overwrite a table with a frame that reads that same table.
 
     The result is written whole to a staging path in the same file system,
@@ -183,7 +198,7 @@ def replace_table(df: DataFrame, path: str, partition_field: str | None = None,
     staging = f"{staging_root or path.rstrip('/') + '__staging'}/{uuid.uuid4().hex}"
     if partition_field and day_column(partition_field) in df.columns:
         df = df.drop(day_column(partition_field))
-    n = write_table(df, staging, "WRITE_EMPTY", partition_field, clustering_fields, empty_probe)
+    n = write_table(df, staging, "WRITE_EMPTY", partition_field, clustering_fields, empty_probe, metrics, found)
     if n == 0:
         return 0
     if path_exists(spark, path):

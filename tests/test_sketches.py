@@ -1,0 +1,67 @@
+"""Merged daily sketches against the exact measures."""
+
+import datetime as dt
+import random
+
+import numpy as np
+import pytest
+
+from martwise.operators import sketches as sk
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    rng = random.Random(3)
+    days = [dt.datetime(2025, 1, 1) + dt.timedelta(days=d) for d in range(60)]
+    out = []
+    for i in range(60_000):
+        d = rng.choice(days) if i % 500 else None
+        v = float(int(rng.lognormvariate(9, 2))) if i % 97 else None
+        out.append((d, v, rng.randrange(9000) if i % 50 else None, rng.choice(["view", "cart", "buy"])))
+    return out, spark.createDataFrame(out, "ts timestamp_ntz, amount double, customer long, step string").repartition(6)
+
+
+def rank_of(values, x):
+    values = np.sort(values)
+    return np.searchsorted(values, x, "left") / len(values), np.searchsorted(values, x, "right") / len(values)
+
+
+def test_quantiles_of_any_range_of_days(rows):
+    data, df = rows
+    daily = sk.daily_quantiles(df, "ts", ["amount"])
+    assert daily.count() == 61
+    for lo, hi in ((None, None), ("2025-01-10", "2025-02-05"), ("2025-01-07", "2025-01-07")):
+        ranks = (0.01, 0.25, 0.5, 0.9, 0.999)
+        [got] = sk.quantiles(daily, ranks, lo, hi).collect()
+        values = np.array([v for t, v, *_ in data if v is not None and (lo is None or t is not None
+                           and lo <= t.date().isoformat() <= hi)])
+        assert got["n"] == len(values)
+        for r, x in zip(ranks, got["quantiles"]):
+            low, high = rank_of(values, x)
+            assert low - sk.RANK_ERROR - 1 / len(values) <= r <= high + sk.RANK_ERROR + 1 / len(values)
+    assert sk.quantiles(daily, (0.5,), "2030-01-01", None).count() == 0
+
+
+def test_distinct_counts_of_ranges_months_and_year(rows):
+    data, df = rows
+    daily = sk.daily_distinct(df, "ts", "customer")
+    in_ = lambda f: len({c for t, _, c, _ in data if c is not None and t is not None and f(t)})
+    assert sk.distinct(daily, "2025-01-05", "2025-01-20").first()[0] == in_(lambda t: 5 <= t.day <= 20 and t.month == 1)
+    assert sk.distinct(daily, "2030-01-01").first()[0] == 0
+    got = {r["month"].month: (r["distinct_count"], r["distinct_ytd"]) for r in sk.running_distinct(daily).collect()}
+    want = {m: (in_(lambda t, m=m: t.month == m), in_(lambda t, m=m: t.month <= m)) for m in (1, 2, 3)}
+    assert got == {m: w for m, w in want.items() if w[0]}  # fewer keys than entries: exact
+    rough = sk.distinct(sk.daily_distinct(df, "ts", "customer", lg=9), lg=9).first()[0]
+    assert abs(rough / in_(lambda t: True) - 1) < 3 * 2 / 2 ** 4.5
+
+
+def test_funnel_by_intersection(rows):
+    data, df = rows
+    daily = sk.daily_distinct(df, "ts", "customer", ["step"])
+    got = [tuple(r) for r in sk.funnel(daily, ["view", "cart", "buy", "never"], "step", "2025-01-01", "2025-01-06").collect()]
+    have = {s: {c for t, _, c, x in data if c is not None and x == s and t is not None and t < dt.datetime(2025, 1, 7)}
+            for s in ("view", "cart", "buy")}
+    both = have["view"] & have["cart"]
+    want = [(1, "view", len(have["view"]), len(have["view"])), (2, "cart", len(have["cart"]), len(both)),
+            (3, "buy", len(have["buy"]), len(both & have["buy"])), (4, "never", 0, 0)]
+    assert got == want
