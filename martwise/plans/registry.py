@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwise.operators import quality, rfm
+from martwise.operators import quality, rfm, sketches
 from martwise.operators.dedup import keep_first
 from martwise.plans import checks, measures, view_sql, views
 from martwise.plans.gold import EVENTS_AS_OF, ORDERS_AS_OF, DriverGold
@@ -226,6 +226,36 @@ def event_funnel(spark, sf_dir):
     return measures.event_funnel(_g(spark, sf_dir).fact_cart_events)
 
 
+def distinct_customers_ytd(spark, sf_dir):
+    """M3 per month and year to date, from one theta sketch a day."""
+    return sketches.running_distinct(sketches.daily_distinct(_g(spark, sf_dir).fact_orders, "order_date", "customer_id"))
+
+
+def event_funnel_passed(spark, sf_dir):
+    """M16's steps and how many sessions went through all of them, by intersecting sketches."""
+    daily = sketches.daily_distinct(_g(spark, sf_dir).fact_cart_events, "event_timestamp", "session_id", ["event_type"])
+    return sketches.funnel(daily, measures.FUNNEL_STEPS)
+
+
+def amount_quantiles(spark, sf_dir):
+    """Quartiles of the order amounts of each year from daily KLL sketches, held against the orders: the share of
+    orders below and up to each answer, and whether the rank asked for lies between them within the stated error."""
+    orders = _g(spark, sf_dir).fact_orders
+    daily = sketches.daily_quantiles(orders, "order_date", ["total_vnd"]).filter(F.col("day").isNotNull())
+    ranks = (0.25, 0.5, 0.75)
+    found = sketches.quantiles(daily.withColumn("year", F.year("day")), ranks, by=["year"]).select(
+        "year", "n", F.posexplode("quantiles").alias("k", "x"))
+    x, of = F.col("x"), F.col("total_vnd").cast("double")
+    checked = (orders.select(F.year("order_date").alias("year"), "total_vnd").filter(F.col("total_vnd").isNotNull())
+               .join(F.broadcast(found), "year")  # three rows a year
+               .groupBy("year", "k", "n").agg((F.count_if(of < x) / F.count(F.lit(1))).alias("low"),
+                                              (F.count_if(of <= x) / F.count(F.lit(1))).alias("high")))
+    rank = F.element_at(F.array(*[F.lit(r) for r in ranks]), F.col("k") + 1)
+    slack = F.lit(sketches.RANK_ERROR) + 1 / F.col("n")
+    return checked.select("year", rank.alias("rank"), "n",
+                          ((F.col("low") - slack <= rank) & (rank <= F.col("high") + slack)).alias("within_error"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cashflow_daily": cashflow_daily,
     "payment_status": payment_status,
@@ -263,4 +293,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "revenue_ytd": revenue_ytd,
     "revenue_mom": revenue_mom,
     "event_funnel": event_funnel,
+    "distinct_customers_ytd": distinct_customers_ytd,
+    "event_funnel_passed": event_funnel_passed,
+    "amount_quantiles": amount_quantiles,
 }

@@ -23,10 +23,11 @@ import re
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martwise.schemas import RAW_MERCURY_ACCOUNT
 from martwise.sources.json_sources import SEQ, file_key, parse_records
 
 CHUNK_SIZE = 50_000
@@ -168,3 +169,35 @@ def parsed(found: DataFrame, schema: T.StructType) -> DataFrame:
     """The fields of the records' texts plus ``_seq``; a text that does not parse fails the load."""
     rows = found.select(parse_records(F.col("text"), schema).alias("r"), F.struct("file", "pos").alias(SEQ))
     return rows.select("r.*", SEQ)
+
+
+def read_json_variant(spark: SparkSession, path: str | Sequence[str], chunk_size: int = CHUNK_SIZE) -> DataFrame:
+    """(record, _seq): the records whole, as VARIANT (S13).  No field is lost
+    that a schema does not list, and types are chosen when a field is read."""
+    paths = [path] if isinstance(path, str) else list(path)
+    _whole_files(paths)
+    found = records(spark.read.option("lineSep", "}").text(paths), chunk_size)
+    return found.select(F.parse_json("text").alias("record"), F.struct("file", "pos").alias(SEQ))
+
+
+def field(name: str, kind: str = "string", record: str = "record") -> Column:
+    """A top-level field of a VARIANT record, typed; null where it is absent, null or of another type."""
+    return F.try_variant_get(F.col(record), _path(name), kind)
+
+
+def states_null(name: str, record: str = "record") -> Column:
+    """True where a record gives the field as null, false where it has a value, null where it lacks the key (Q9)."""
+    value = F.try_variant_get(F.col(record), _path(name), "variant")
+    return F.when(value.isNotNull(), F.is_variant_null(value))
+
+
+def _path(name: str) -> str:
+    if "'" in name and '"' in name:
+        raise ValueError(f"a path cannot name the field {name!r}")
+    return f'$["{name}"]' if "'" in name else f"$['{name}']"
+
+
+def read_accounts(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Bank accounts with the listed fields as text and the whole ``record`` beside them."""
+    rows = read_json_variant(spark, path)
+    return rows.select(*[field(f.name).alias(f.name) for f in RAW_MERCURY_ACCOUNT.fields], "record", SEQ)

@@ -138,6 +138,10 @@ def read_source_if_present(spark: SparkSession, root: str, name: str) -> DataFra
     paths = source_paths(spark, root, name)
     if not paths:
         return None
+    if name == "mercury_accounts":
+        from martwise.sources.json_chunks import read_accounts
+
+        return read_accounts(spark, paths)
     if name in CHUNKED_SOURCES:
         from martwise.sources.json_chunks import read_json_chunked
 

@@ -122,3 +122,18 @@ def test_keys_do_not_depend_on_packing_or_on_the_stream(spark, tmp_dir):
         target = f"{tmp_dir}/gold{files}"
         start_cart_event_ingest(spark, f"{tmp_dir}/src", target, f"{tmp_dir}/ckpt{files}", files).awaitTermination(300)
         assert sorted(r["event_key"] for r in read_ingested(spark, target).collect()) == keys[0][1]
+
+
+def test_variant_records_keep_unlisted_fields(spark, tmp_dir):
+    rows = [{"id": "a1", "name": "Main", "currentBalance": 10.5, "nickname": "x", "kind": {"deep": [1, 2]}, "type": None, "o'k": 3},
+            {"id": 7, "status": "active"}, {}]
+    fixtures.write_json_gz(f"{tmp_dir}/mercury/accounts.json.gz", rows)
+    df = js.read_source(spark, tmp_dir, "mercury_accounts")
+    got = df.select("id", "name", "currentBalance", jc.field("nickname").alias("nickname"), jc.field("o'k", "long").alias("ok"),
+                    jc.field("kind", "struct<deep:array<int>>").alias("kind"), jc.states_null("type").alias("null_type"),
+                    jc.states_null("name").alias("null_name"), "_seq.pos").orderBy("pos").collect()
+    assert [r["id"] for r in got] == ["a1", "7", None] and got[0]["currentBalance"] == "10.5"
+    assert got[0]["nickname"] == "x" and got[0]["kind"]["deep"] == [1, 2] and got[0]["ok"] == 3
+    assert [r["null_type"] for r in got] == [True, None, None] and [r["null_name"] for r in got] == [False, None, None]
+    assert [json.loads(r[0]) for r in df.selectExpr("to_json(record)", "_seq.pos").orderBy("pos").collect()] == [
+        json.loads(json.dumps(r, sort_keys=True)) for r in rows]
