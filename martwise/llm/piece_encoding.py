@@ -211,11 +211,17 @@ def codec(model_file: str) -> PieceCodec:
     return _CODECS[model_file]
 
 
+def spans_digest(e: Encoding) -> str:
+    """sha256 of every piece's source span: begin and end as little-endian 64-bit integers, piece after piece."""
+    return hashlib.sha256(np.stack((e.begin, e.end), axis=1).astype("<i8").tobytes()).hexdigest()
+
+
 OUTPUTS = {
     "n_tokens": (T.LongType(), lambda c, e: len(e.ids)),
     "ids": (T.ArrayType(T.IntegerType()), lambda c, e: np.array(e.ids, np.int32)),
     "begin": (T.ArrayType(T.LongType()), lambda c, e: e.begin),
     "end": (T.ArrayType(T.LongType()), lambda c, e: e.end),
+    "spans_sha256": (T.StringType(), lambda c, e: spans_digest(e)),
     "decoded": (T.StringType(), lambda c, e: c.decode(e.ids)),
     "ids_sha256": (T.StringType(), lambda c, e: hashlib.sha256(str(e.ids)[1:-1].replace(" ", "").encode()).hexdigest()),
     "decoded_sha256": (T.StringType(), lambda c, e: hashlib.sha256(c.decode(e.ids).encode()).hexdigest()),

@@ -58,7 +58,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return piece_encoding.encode(docs, piece_model(), ("n_tokens", "ids_sha256", "decoded_sha256")).drop("text")
+    return piece_encoding.encode(docs, piece_model(), ("n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256")).drop("text")
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,9 +8,12 @@ P(grade <= k) = sigmoid(threshold_k - w.x).  The expected severity is the sum
 of P(grade > k) over the thresholds.
 
 ``labels.toxic`` is 0 or 1; the grades of the training rows are 0 for label
-0, and 1 to 3 for label 1 by the share of features that the labels tie to
-label 1 (terciles over the training rows with label 1).  Only features of that
-kind enter the model; the others' weights would end at 0.
+0, and 1 to 3 for label 1 by the share of features that the labels of another
+fold's rows tie to label 1 (terciles over the training rows with label 1).  The
+labels themselves say nothing of degrees: only the cut between 0 and 1 is
+validated on held-out labels, and the severity is relative to the data.  Only
+features that the labels tie to label 1 enter the model; the others' weights
+would end at 0.
 
 Training takes at most ``TRAIN_ROWS`` labelled documents (by a hash of the
 id) outside the held-out part.  Defined cases: labels that are null, other
@@ -62,9 +65,18 @@ def telling(toxic: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
                            if seen[k] >= MIN_DOCS and (b + share) / (seen[k] + 1) > 0.5 + share / 2), np.int64)
 
 
-def grades(toxic: np.ndarray, words: list[np.ndarray], vocab: np.ndarray) -> np.ndarray:
-    """Grade 0 for label 0; 1 to 3 for label 1 by the share of telling features."""
-    density = np.array([np.isin(w, vocab).mean() if len(w) else 0.0 for w in words])
+def grades(toxic: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
+    """Grade 0 for label 0; 1 to 3 for label 1 by the share of features that the rows of the other fold tie to label 1.
+
+    Rows alternate between two folds, so a row's grade comes from labels and
+    texts that are not its own; equal shares have equal grades.
+    """
+    density = np.zeros(len(words))
+    for fold in (0, 1):
+        other = np.arange(1 - fold, len(words), 2)
+        vocab = telling(toxic[other], [words[k] for k in other]) if len(other) else np.empty(0, np.int64)
+        for k in range(fold, len(words), 2):
+            density[k] = np.isin(words[k], vocab).mean() if len(words[k]) else 0.0
     at = toxic == 1
     low, high = np.quantile(density[at], [1 / 3, 2 / 3])
     return np.where(at, 1 + (density > low) + (density > high), 0).astype(int)
@@ -131,7 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[n
             theta, ids, w, cut = level + np.arange(GRADES - 1.0), np.empty(0, np.int64), np.empty(0), CUT
         else:
             vocab = telling(toxic, words)
-            theta, ids, w, cut = fit(grades(toxic, words, vocab), words, vocab)
+            theta, ids, w, cut = fit(grades(toxic, words), words, vocab)
         return pd.DataFrame({"theta": [theta.tobytes()], "ids": [ids.tobytes()], "w": [w.tobytes()], "cut": [cut]})
     got = (sample.mapInPandas(hashed, "doc_id long, label int, words binary").groupBy(F.lit("one"))
            .applyInPandas(fit_rows, "theta binary, ids binary, w binary, cut double").collect())
