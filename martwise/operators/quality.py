@@ -106,21 +106,18 @@ def amount_stats_many(specs: Sequence[tuple[DataFrame, Sequence[str], str, bool]
     hist = long.filter(F.col("x").isNotNull()).groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c"))
     base = hist.groupBy(*keys).agg(F.sum("c").alias("n"), (F.sum(F.col("x") * F.col("c")) / F.sum("c")).alias("_mean"),
                                    F.sum(F.when(F.col("x") < 0, F.col("c")).otherwise(0)).alias("neg"))
-    # the joined sides have one row per (table, column): bounded broadcasts
+    # the joined sides have one row per (table, column): bounded broadcasts; each step carries on what it has
     away = F.col("x") - F.col("_mean")
-    spread = (hist.join(F.broadcast(base.select(*keys, "_mean")), keys)
-              .groupBy(*keys).agg(F.sum(away * away * F.col("c")).alias("_m2")))
-    stats = base.join(F.broadcast(spread), keys).withColumn(
-        "_std", F.when(F.col("n") > 1, F.sqrt(F.col("_m2") / (F.col("n") - 1))))
-    med = median_from_counts(hist, "x", "c", keys)
+    stats = (hist.join(F.broadcast(base), keys).groupBy(*keys, "n", "_mean", "neg")
+             .agg(F.sum(away * away * F.col("c")).alias("_m2"))
+             .withColumn("_std", F.when(F.col("n") > 1, F.sqrt(F.col("_m2") / (F.col("n") - 1)))))
     far = (F.col("_std") > 0) & (F.abs(away) > 3 * F.col("_std"))
-    outl = (hist.join(F.broadcast(stats.select(*keys, "_mean", "_std")), keys)
-            .groupBy(*keys).agg(F.sum(F.when(far, F.col("c")).otherwise(0)).alias("outlier_count")))
-    return (stats.join(med, keys, "left").join(outl, keys, "left")
+    stats = (hist.join(F.broadcast(stats), keys).groupBy(*keys, "n", "_mean", "neg", "_std")
+             .agg(F.sum(F.when(far, F.col("c")).otherwise(0)).alias("outlier_count")))
+    return (stats.join(median_from_counts(hist, "x", "c", keys), keys, "left")
                  .select("table_name", "column_name", F.col("n").alias("value_count"),
                          F.round("_mean", 4).alias("mean"), "median", F.round("_std", 2).alias("std"),
-                         F.when(~F.col("allow_negative"), F.col("neg")).alias("negative_count"),
-                         F.coalesce("outlier_count", F.lit(0).cast("bigint")).alias("outlier_count")))
+                         F.when(~F.col("allow_negative"), F.col("neg")).alias("negative_count"), "outlier_count"))
 
 
 def table_profile(df: DataFrame, table_name: str, null_columns: Sequence[str] = (),
