@@ -1,20 +1,22 @@
 """License scans: phrases, and an exact containment join against notices
 (native: DataFrame functions only).
 
-Every line of a text is a block (a line longer than two of the longest runs in
-overlapping stretches of that length), and so is every run of words across line
-breaks that is as long as the notice (its words over ``THRESHOLD``), so a
-notice wrapped over lines is compared whole.  A notice is found in a block if
-the block holds ``THRESHOLD`` or more of the notice's distinct words, and all
-words that tell it from a notice of another label which holds as many.  Runs are
-taken from stretches of words that overlap by the longest run; stretches with
-too few words of every notice are left out before the join.  The join is
-exact: words are ordered by how many blocks hold them, rarest first; a block
-and a notice that share enough words share one among the first few of each
-(prefix filter), the block has enough words (length filter), and enough words
-are left after the shared one in both (positional filter).  Pairs that pass
-are verified.  Only words of the notices can count, so blocks are cut down
-to those words first; the notices are a fixed, bounded list.
+A block is a run of consecutive words of a text, line breaks or not: as many
+as the notice has over ``THRESHOLD``, and ``INSERTED`` more.  A notice is found
+in a run that holds ``THRESHOLD`` or more of the notice's distinct words, and
+all words that tell it from a notice of another label which holds as many.  A
+notice on one line and the same notice wrapped over several are judged alike,
+and words scattered over a long sentence are none.
+
+Runs are taken from stretches of words that overlap by the longest run, so
+each run is whole in one; stretches with too few words of every notice are left
+out before the join.  The join is exact: words are ordered by how many
+stretches hold them, rarest first; a stretch and a notice that share enough
+words share one among the first few of each (prefix filter), the stretch has
+enough words (length filter), and enough words are left after the shared one in
+both (positional filter).  Pairs that pass are verified run by run.  Only words
+of the notices can count, so stretches are compared by those words; the notices
+are a fixed, bounded list.
 
 Defined cases: a null text is empty; a text without words has no places,
 labels '' and score 0.  Repeated rows are each judged.  An empty table gives an
@@ -58,6 +60,7 @@ NOTICES = {
     "mpl-notice": ["this source code form is subject to the terms of the mozilla public license v 2 0"],
 }
 THRESHOLD = 0.9
+INSERTED = 6  # other words that may stand in a run besides
 
 # The two letters outside ASCII whose lower case is or holds an ASCII letter.
 _KELVIN, _DOTTED = "K", "İ"
@@ -102,7 +105,7 @@ def scan_phrases(docs: DataFrame, phrases: dict[str, str] = PHRASES) -> DataFram
 
 def _run(text: str, threshold: float) -> int:
     """Words of a run that is compared with the notice ``text``."""
-    return ceil(len(text.split()) / threshold - 1e-9)
+    return ceil(len(text.split()) / threshold - 1e-9) + INSERTED
 
 
 def _telling(words: list[str], label: str, texts: list[tuple[str, list[str], int]], need: int) -> list[str]:
@@ -129,11 +132,10 @@ def _literals(words: list[str]) -> Column:
 
 
 def find_notices(blocks: DataFrame, notices: dict[str, list[str]] = NOTICES, threshold: float = THRESHOLD) -> DataFrame:
-    """(row, block, label, containment) of every block that holds a notice.
+    """(row, block, label, containment) of every stretch with a run that holds a notice.
 
-    ``blocks`` has row, block, words (the block's distinct words that belong
-    to any notice) and stretch: null for a line, else the words in order, of
-    which each run as long as the notice is compared.
+    ``blocks`` has row, block, words (the stretch's distinct words that belong
+    to any notice) and stretch (its words in order).
     """
     spark = blocks.sparkSession
     held = {r["word"]: r["n"] for r in blocks.select(F.explode("words").alias("word")).groupBy("word")
@@ -161,10 +163,11 @@ def find_notices(blocks: DataFrame, notices: dict[str, list[str]] = NOTICES, thr
     def shared(words: Column) -> Column:
         told = F.size(F.array_except(F.col("telling"), words)) == 0
         return F.when(told, F.size(F.array_intersect(words, F.col("notice_words")))).otherwise(F.lit(0))
-    starts = F.sequence(F.lit(1), F.greatest(F.size("stretch") - F.col("run") + 1, F.lit(1)))
+    # a run that holds most of a notice can be taken to begin with one of its words
+    starts = F.filter(F.sequence(F.lit(1), F.size("stretch")),
+                      lambda at: F.array_contains(F.col("notice_words"), F.element_at("stretch", at)))
     in_run = F.array_max(F.transform(starts, lambda at: shared(F.slice("stretch", at, F.col("run")))))
-    return (pairs.withColumn("both", shared(F.col("words"))).filter(F.col("both") >= F.col("need"))
-            .withColumn("both", F.when(F.col("stretch").isNull(), F.col("both")).otherwise(in_run))
+    return (pairs.filter(shared(F.col("words")) >= F.col("need")).withColumn("both", in_run)
             .filter(F.col("both") >= F.col("need"))
             .select("row", "block", "label", (F.col("both") / F.col("size")).alias("containment")))
 
@@ -173,27 +176,21 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str,
          threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns of ``docs`` plus the phrase columns, base_labels, labels and score.
 
-    The narrow scan result (with the blocks' notice words) is stored with a
+    The narrow scan result (with the stretches that may hold a notice) is stored with a
     row number, and what the join finds is put back by that number.
     """
     keep = keep if keep is not None else docs.columns
     vocab = sorted({w for ts in notices.values() for t in ts for w in t.split()})
     made = ["n_words", "n_base", "first_word", "last_word", "base_found"]
-    keep = [c for c in keep if c not in (*made, "base_labels", "labels", "score", "__row", "__blocks", "__stretches")]
+    keep = [c for c in keep if c not in (*made, "base_labels", "labels", "score", "__row", "__blocks")]
     base = scan_phrases(docs, phrases)
     longest = max(_run(t, threshold) for ts in notices.values() for t in ts)
-    lines = F.flatten(F.transform(F.split("__lined", "\n"), lambda line: F.transform(
-        _stretches(F.split(line, " "), longest), lambda words: F.array_intersect(_literals(vocab), words))))
-    base = base.withColumn("__blocks", F.filter(lines, lambda b: F.size(b) > 0))
-    stretches = F.filter(_stretches(F.split(F.trim("__lined"), "[ \n]+"), longest),
-                         lambda s: _may_hold(s, notices, threshold))
-    wrapped = F.col("__lined").contains("\n") & _may_hold(F.array_distinct(F.flatten("__blocks")), notices, threshold)
-    base = cut(base.select(*keep, *made, "__blocks", F.when(wrapped, stretches).alias("__stretches"),
-                           F.monotonically_increasing_id().alias("__row")))
-    of_lines = F.transform("__blocks", lambda b: F.struct(b.alias("words"), F.lit(None).cast("array<string>").alias("stretch")))
-    of_runs = F.transform(F.coalesce("__stretches", F.array().cast("array<array<string>>")),
-                          lambda s: F.struct(F.array_intersect(_literals(vocab), s).alias("words"), s.alias("stretch")))
-    blocks = base.select(F.col("__row").alias("row"), F.posexplode(F.concat(of_lines, of_runs)).alias("block", "b"))
+    least = min(ceil(threshold * len(set(t.split())) - 1e-9) for ts in notices.values() for t in ts)
+    cuts = F.transform(_stretches(F.split(F.trim("__lined"), "[ \n]+"), longest),
+                       lambda s: F.struct(F.array_intersect(_literals(vocab), s).alias("words"), s.alias("stretch")))
+    likely = F.filter(cuts, lambda b: (F.size(b["words"]) >= least) & _may_hold(b["words"], notices, threshold))
+    base = cut(base.select(*keep, *made, likely.alias("__blocks"), F.monotonically_increasing_id().alias("__row")))
+    blocks = base.select(F.col("__row").alias("row"), F.posexplode("__blocks").alias("block", "b"))
     found = find_notices(blocks.select("row", "block", "b.*"), notices, threshold).groupBy(F.col("row").alias("__row")).agg(
         F.collect_set("label").alias("__labels"), F.max("containment").alias("__best"))
     labels = F.array_sort(F.array_distinct(F.concat("base_found", F.coalesce("__labels", F.array().cast("array<string>")))))

@@ -129,8 +129,7 @@ def _licenses() -> str:
     s = license_scan
     phrases = " UNION ALL ".join(
         f"SELECT '{p}' AS phrase, '{label}' AS label, {p.split()!r} AS pw" for p, label in s.PHRASES.items())
-    notices = " UNION ALL ".join(
-        f"SELECT '{label}' AS label, {sorted(set(t.split()))!r} AS nw" for label, ts in s.NOTICES.items() for t in ts)
+    notices = " UNION ALL ".join(f"SELECT '{label}' AS label, '{t}' AS said" for label, ts in s.NOTICES.items() for t in ts)
     return rf"""
 WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -144,15 +143,27 @@ places AS (
 based AS (
   SELECT r, count(*) AS n_base, min(spot) - 1 AS first_word, max(spot) - 1 AS last_word, list_sort(list_distinct(list(label))) AS labels
   FROM places GROUP BY r),
-blocks AS (SELECT r, unnest(string_split(low, chr(10))) AS line FROM docs),
-notices AS ({notices}),
+said AS ({notices}),
+notices AS (
+  SELECT row_number() OVER () AS k, label, list_distinct(string_split(said, ' ')) AS nw,
+         ceil({s.THRESHOLD} * len(list_distinct(string_split(said, ' '))) - 1e-9) AS need,
+         CAST(ceil(len(string_split(said, ' ')) / {s.THRESHOLD} - 1e-9) AS BIGINT) + {s.INSERTED} AS run
+  FROM said),
+telling AS (
+  SELECT n.k, list(DISTINCT w) AS tw
+  FROM notices n JOIN notices o ON o.label <> n.label AND len(list_intersect(n.nw, o.nw)) >= n.need,
+       LATERAL (SELECT unnest(n.nw) AS w) t
+  WHERE NOT list_contains(o.nw, w) GROUP BY n.k),
+likely AS (
+  SELECT l.r, l.words, n.*, coalesce(t.tw, []) AS tw
+  FROM listed l JOIN notices n ON len(list_intersect(n.nw, l.words)) >= n.need LEFT JOIN telling t ON t.k = n.k),
 held AS (
-  SELECT b.r, n.label, len(list_intersect(n.nw, list_distinct(regexp_extract_all(b.line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')))) AS n_both,
-         len(n.nw) AS size
-  FROM blocks b JOIN notices n ON true),
+  SELECT r, label, need, len(nw) AS size, tw, nw, words[i : i + run - 1] AS run_words
+  FROM likely, LATERAL (SELECT unnest(range(1, CAST(len(words) AS BIGINT) + 1)) AS i) t
+  WHERE list_contains(nw, words[i])),
 found AS (
-  SELECT r, list(DISTINCT label) AS labels, max(n_both / size) AS best
-  FROM held WHERE n_both >= ceil({s.THRESHOLD} * size - 1e-9) GROUP BY r)
+  SELECT r, list(DISTINCT label) AS labels, max(len(list_intersect(nw, run_words)) / size) AS best
+  FROM held WHERE len(list_intersect(nw, run_words)) >= need AND list_has_all(run_words, tw) GROUP BY r)
 SELECT l.doc_id, CAST(len(l.words) AS BIGINT) AS n_words, CAST(coalesce(b.n_base, 0) AS BIGINT) AS n_base,
        CAST(b.first_word AS BIGINT) AS first_word, CAST(b.last_word AS BIGINT) AS last_word,
        coalesce(array_to_string(b.labels, ','), '') AS base_labels,

@@ -24,3 +24,17 @@ def test_words_far_apart_on_a_long_line_are_no_notice(spark):
     whole = "Released, as was said before, under the terms of the MIT License."
     got = labels_of(spark, [gap.join(["released", "under", "the", "mit", "license"]), whole, gap + whole + gap])
     assert got == [("", 0.0), ("mit,mit-notice", 1.0), ("mit,mit-notice", 1.0)]
+
+
+def test_scattered_words_of_one_sentence_are_no_notice(spark):
+    scattered = ("She was released early from work under grey skies, then met the dean of MIT in his office to ask about "
+                 "a driving license for her brother.")
+    got = labels_of(spark, [scattered, scattered.replace(", ", ",\n"), scattered * 40])
+    assert got == [("", 0.0)] * 3
+
+
+def test_one_line_and_many_are_judged_alike(spark):
+    texts = [lead * n + t + " and more prose follows it here" * 3 for ts in license_scan.NOTICES.values() for t in ts
+             for lead in ("some prose before ", "released under ") for n in (0, 1, 30)]
+    plain, wrapped = labels_of(spark, texts), labels_of(spark, [t.replace(" ", "\n") for t in texts])
+    assert plain == wrapped and all(score == 1.0 for _, score in plain)

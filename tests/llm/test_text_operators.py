@@ -1,6 +1,7 @@
 """Text operators against brute-force versions and on edge rows."""
 
 import hashlib
+import math
 import itertools
 import re
 import textwrap
@@ -403,14 +404,18 @@ def brute_scan(text):
              if words[i:i + len(p.split())] == p.split()]
     base = sorted({label for _, label in spots})
     best, found = 1.0 if spots else 0.0, set(base)
-    for line in low.split("\n"):
-        held = set(LICENSE_WORD.findall(line))
-        for label, texts in license_scan.NOTICES.items():
-            for t in texts:
-                need = set(t.split())
-                if len(held & need) >= license_scan.THRESHOLD * len(need) - 1e-9:
-                    found.add(label)
-                    best = max(best, len(held & need) / len(need))
+    notices = [(label, t.split()) for label, ts in license_scan.NOTICES.items() for t in ts]
+    for label, said in notices:
+        need = set(said)
+        enough = license_scan.THRESHOLD * len(need) - 1e-9
+        rivals = [set(other) for name, other in notices if name != label and len(set(other) & need) >= enough]
+        telling = {w for w in need if any(w not in r for r in rivals)}
+        run = math.ceil(len(said) / license_scan.THRESHOLD - 1e-9) + license_scan.INSERTED
+        for i in range(max(len(words) - run, 0) + 1):
+            held = set(words[i:i + run])
+            if len(held & need) >= enough and telling <= held:
+                found.add(label)
+                best = max(best, len(held & need) / len(need))
     return (len(words), len(spots), min((i for i, _ in spots), default=None), max((i for i, _ in spots), default=None),
             ",".join(base), ",".join(sorted(found)), best)
 
