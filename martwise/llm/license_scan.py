@@ -186,8 +186,11 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str,
     base = scan_phrases(docs, phrases)
     longest = max(_run(t, threshold) for ts in notices.values() for t in ts)
     least = min(ceil(threshold * len(set(t.split())) - 1e-9) for ts in notices.values() for t in ts)
-    # the words go in as a lambda's argument, so a text is split once and not once a stretch
-    cuts = F.transform(F.flatten(F.transform(F.array(F.split(F.trim("__lined"), "[ \n]+")), lambda ws: _stretches(ws, longest))),
+    # a text's words go in as a lambda's argument, so they are split once; texts with too few words of every notice have no stretch
+    texts = F.transform(F.array(F.split(F.trim("__lined"), "[ \n]+")),
+                        lambda ws: F.struct(ws.alias("ws"), F.array_intersect(_literals(vocab), ws).alias("held")))
+    whole = F.filter(texts, lambda t: _may_hold(t["held"], notices, threshold))
+    cuts = F.transform(F.flatten(F.transform(whole, lambda t: _stretches(t["ws"], longest))),
                        lambda s: F.struct(F.array_intersect(_literals(vocab), s).alias("words"), s.alias("stretch")))
     likely = F.filter(cuts, lambda b: (F.size(b["words"]) >= least) & _may_hold(b["words"], notices, threshold))
     base = cut(base.select(*keep, *made, likely.alias("__blocks"), F.monotonically_increasing_id().alias("__row")))
