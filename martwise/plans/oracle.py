@@ -493,6 +493,10 @@ GROUP BY 1, 2 ORDER BY 1"""
 for _view in ("cashflow_daily", "payment_status", "customer_journey"):
     SQL[f"{_view}_stored_view"] = SQL[_view]
 
+# tables dealt out by customer compute what plain ones do
+for _query in ("customer_journey", "customer_aggregates"):
+    SQL[f"{_query}_colocated"] = SQL[_query]
+
 SQL["distinct_customers_ytd"] = with_ctes("fact_orders") + """
 , seen AS (SELECT DISTINCT CAST(date_trunc('month', order_date) AS DATE) AS month, customer_id FROM fact_orders
            WHERE order_date IS NOT NULL AND customer_id IS NOT NULL),

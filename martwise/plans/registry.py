@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from martwise.operators import quality, rfm, sketches
 from martwise.operators.dedup import keep_first
-from martwise.plans import checks, measures, view_sql, views
+from martwise.plans import checks, colocated, measures, view_sql, views
 from martwise.plans.gold import EVENTS_AS_OF, ORDERS_AS_OF, DriverGold
+from martwise.session import shared_folder
 
 LINEITEM_SEQ = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
                 "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -49,6 +50,25 @@ def customer_aggregates(spark, sf_dir):
     return rfm.update_customer_aggregates(g.dim_customers, g.rfm_orders, as_of=ORDERS_AS_OF)
 
 
+def _by_customer(g: DriverGold, frames: dict[str, DataFrame]) -> dict[str, colocated.Colocated]:
+    """Gold tables written and dealt out by customer, in as many buckets as the session has shuffle partitions."""
+    return colocated.gold_by_customer(g, frames, shared_folder(g.spark), int(g.spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def customer_journey_colocated(spark, sf_dir):
+    """V1 bucket beside bucket."""
+    g = _g(spark, sf_dir)
+    t = _by_customer(g, {n: getattr(g, n) for n in colocated.SORTED})
+    return colocated.customer_journey(t["fact_cart_events"], t["dim_customers"], t["fact_orders"])
+
+
+def customer_aggregates_colocated(spark, sf_dir):
+    """B12 bucket beside bucket."""
+    g = _g(spark, sf_dir)
+    t = _by_customer(g, {"dim_customers": g.dim_customers, "fact_orders": g.rfm_orders})
+    return colocated.update_customer_aggregates(t["dim_customers"], t["fact_orders"], as_of=ORDERS_AS_OF)
+
+
 def rfm_segments(spark, sf_dir):
     g = _g(spark, sf_dir)
     agg = rfm.order_aggregates(g.rfm_orders)
@@ -263,6 +283,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cashflow_daily_stored_view": _stored_view("vw_cashflow_daily"),
     "payment_status_stored_view": _stored_view("vw_payment_status", ORDERS_AS_OF),
     "customer_journey_stored_view": _stored_view("vw_customer_journey"),
+    "customer_journey_colocated": customer_journey_colocated,
+    "customer_aggregates_colocated": customer_aggregates_colocated,
     "rfm_segments": rfm_segments,
     "rfm_distribution": rfm_distribution,
     "customer_aggregates": customer_aggregates,

@@ -30,6 +30,22 @@ def left_join_spread_nulls(left: DataFrame, right: DataFrame, key: str) -> DataF
     return l2.join(r2, [key, salt], "left").drop(salt)
 
 
+def journey_events(fact_cart_events: DataFrame) -> DataFrame:
+    """V1: the events of known customers."""
+    return fact_cart_events.filter(F.col("customer_id").isNotNull()).select(
+        "customer_id", "session_id", "event_type", "event_timestamp", "product_id",
+        F.col("source").alias("traffic_source"), "device", "utm_source", "utm_campaign", "event_key")
+
+
+def journey_purchases(fact_orders: DataFrame) -> DataFrame:
+    """A2: purchase totals of a customer."""
+    return (fact_orders.filter(F.col("customer_id").isNotNull())
+            .groupBy("customer_id")
+            .agg(F.min("order_date").alias("first_purchase_date"),
+                 F.count(F.lit(1)).alias("total_purchases"),
+                 F.sum("total_vnd").cast("bigint").alias("total_revenue_vnd")))
+
+
 def customer_journey(fact_cart_events: DataFrame, dim_customers: DataFrame,
                      fact_orders: DataFrame) -> DataFrame:
     """V1: every event of a known customer with its touchpoint number (W1),
@@ -43,18 +59,12 @@ def customer_journey(fact_cart_events: DataFrame, dim_customers: DataFrame,
     row per customer first, so the events meet one join only, whose skewed
     customers AQE can split.
     """
-    ev = fact_cart_events.filter(F.col("customer_id").isNotNull()).select(
-        "customer_id", "session_id", "event_type", "event_timestamp", "product_id",
-        F.col("source").alias("traffic_source"), "device", "utm_source", "utm_campaign", "event_key")
+    ev = journey_events(fact_cart_events)
     micros = F.unix_micros(F.col("event_timestamp").cast("timestamp"))
     ranked = exact_rank(ev, micros, F.col("event_key"), partition_by=["customer_id"],
                         rank_col="touchpoint_sequence", coarse=F.floor(micros / MINUTE_MICROS))
     first_event = ev.groupBy("customer_id").agg(F.min("event_timestamp").alias("_first_event"))
-    purchases = (fact_orders.filter(F.col("customer_id").isNotNull())
-                 .groupBy("customer_id")
-                 .agg(F.min("order_date").alias("first_purchase_date"),
-                      F.count(F.lit(1)).alias("total_purchases"),
-                      F.sum("total_vnd").cast("bigint").alias("total_revenue_vnd")))
+    purchases = journey_purchases(fact_orders)
     cust = dim_customers.select("customer_id", "full_name", "customer_segment")
     known = first_event.join(cust, "customer_id", "left").join(purchases, "customer_id", "left")
     j = ranked.join(known, "customer_id", "left")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -51,3 +53,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         spark.conf.set(k, v)
     spark.sparkContext.setLogLevel(os.environ.get("MARTWISE_LOG_LEVEL", "ERROR"))
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A fresh folder name in storage that all executors share: below the
+    session's ``spark.checkpoint.dir``.  Only a local master may do without one."""
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder in shared storage")
+        root = tempfile.mkdtemp(prefix="martwise-")
+    return f"{root}/gold-{uuid.uuid4().hex}"
