@@ -50,10 +50,14 @@ def cut(df: DataFrame) -> DataFrame:
 
     Later steps start from the stored rows: nothing before is computed
     again, a lost executor loses nothing, and columns are pruned on reading.
+    The folder is removed when the application ends, as results may be read
+    until then; one that ends by losing its driver leaves it.
     """
     spark = df.sparkSession
     path = shared_dir(spark)
     df.write.parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
     return spark.read.schema(df.schema).parquet(path)
 
 

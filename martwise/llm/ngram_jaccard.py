@@ -13,10 +13,14 @@ similarity of their sets is 0.8 or more.
 4. Within a component, pairs compare their MinHash values 16 at a time and
    drop out as soon as the posterior probability that their similarity
    reaches the threshold, given the matches so far and a uniform prior,
-   falls below ``tolerance``.  The rest is verified exactly on the shingles.
+   falls below ``tolerance``.  Of the rest, pairs that share a band are
+   verified exactly on the shingles.
    A component over ``BLOCK`` nodes or ``BLOCK_SHINGLES`` shingles is dealt
-   out as pairs of blocks.  Tasks
-   return link counts per node and a spanning forest, never pairs.
+   out: as pairs of its blocks if it is dense, or band by band, a pair at the
+   first band it shares, where that sends fewer rows, as in a long chain
+   of texts whose ends have nothing in common.  A band over a block is dealt
+   out as pairs of blocks in turn.  Tasks return link counts per node and a
+   spanning forest, never pairs.
 5. Components of the forest are the classes.
 
 Defined cases: null and empty texts (no words) link with nothing and stay,
@@ -51,6 +55,7 @@ STEP = 16
 TOLERANCE = 1e-6
 BLOCK = 2048  # nodes of a block, and of a pack of small components
 BLOCK_SHINGLES = 4_000_000
+ANY = -1  # in place of a band's number: pairs that share any
 
 _WORD = re.compile(WORD)
 _rng = np.random.default_rng(20240501)
@@ -149,9 +154,8 @@ def _sketch_rows(batches):
     for batch in batches:
         sh = [shingles(t) for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2),
-             pa.array([signature(s).tobytes() for s in sh], pa.binary()),
-             pa.array([s.tobytes() for s in sh], pa.binary())], names=["key", "comp", "sig", "sh"])
+            [batch.column(0), pa.array([signature(s).tobytes() for s in sh], pa.binary()),
+             pa.array([s.tobytes() for s in sh], pa.binary())], names=["key", "sig", "sh"])
 
 
 def _candidates(sig_a: np.ndarray, sig_b: np.ndarray, least: dict[int, int], same: bool):
@@ -179,6 +183,21 @@ def _candidates(sig_a: np.ndarray, sig_b: np.ndarray, least: dict[int, int], sam
         yield i, j
 
 
+def first_bands(sig_a: np.ndarray, sig_b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The first band that each pair shares, ``BANDS`` if none."""
+    first = np.full(len(i), BANDS, np.int32)
+    for s in range(0, len(i), 250_000):
+        open_ = np.arange(s, min(s + 250_000, len(i)))
+        for n in range(BANDS):
+            own = slice(n * ROWS, (n + 1) * ROWS)
+            hit = (sig_a[i[open_], own] == sig_b[j[open_], own]).all(axis=1)
+            first[open_[hit]] = n
+            open_ = open_[~hit]
+            if not len(open_):
+                break
+    return first
+
+
 def _overlaps(sh_a: list[np.ndarray], sh_b: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Exact intersection sizes of the pairs (i ascending)."""
     used = np.unique(j)
@@ -201,9 +220,10 @@ def _overlaps(sh_a: list[np.ndarray], sh_b: list[np.ndarray], i: np.ndarray, j:
     return out
 
 
-def _link(a: pd.DataFrame, b: pd.DataFrame, same: bool, links: dict, forest: Forest, threshold: float,
+def _link(a: pd.DataFrame, b: pd.DataFrame, same: bool, band: int, links: dict, forest: Forest, threshold: float,
           least: dict[int, int]) -> None:
-    """Count the links between the rows of ``a`` and ``b`` (``same``: within a)."""
+    """Count the links between the rows of ``a`` and ``b`` (``same``: within a):
+    of pairs that share a band, or whose first shared band is ``band``."""
     limit = Fraction(threshold).limit_denominator(1_000_000)
     num, den = limit.numerator, limit.denominator
 
@@ -215,6 +235,9 @@ def _link(a: pd.DataFrame, b: pd.DataFrame, same: bool, links: dict, forest: For
     key_b, copies_b, sig_b, sh_b = (key_a, copies_a, sig_a, sh_a) if same else unpack(b)
     len_a, len_b = np.array([len(s) for s in sh_a]), np.array([len(s) for s in sh_b])
     for i, j in _candidates(sig_a, sig_b, least, same):
+        first = first_bands(sig_a, sig_b, i, j)
+        here = first < BANDS if band == ANY else first == band
+        i, j = i[here], j[here]
         if not len(i):
             continue
         both = _overlaps(sh_a, sh_b, i, j)
@@ -234,15 +257,15 @@ def _verify(threshold: float, tolerance: float):
     def verify(rows: pd.DataFrame) -> pd.DataFrame:
         links: dict[int, int] = {}
         forest = Forest()
-        for _, part in rows.groupby("comp", sort=False):
+        for (_, band), part in rows.groupby(["group", "band"], sort=False):
             first, second = int(part["x"].iloc[0]), int(part["y"].iloc[0])
             if first == second:
                 if len(part) > 1:
-                    _link(part, part, True, links, forest, threshold, least)
+                    _link(part, part, True, int(band), links, forest, threshold, least)
             else:
                 a, b = part[part["block"] == first], part[part["block"] == second]
                 if len(a) and len(b):
-                    _link(a, b, False, links, forest, threshold, least)
+                    _link(a, b, False, int(band), links, forest, threshold, least)
         keys = list(links)
         return pd.DataFrame({"key": pd.Series(keys, dtype="int64"),
                              "links": pd.Series([links[k] for k in keys], dtype="int64"),
@@ -256,6 +279,42 @@ def text_key(text=None):
     return F.when(text.rlike(WORD), F.xxhash64(text))
 
 
+def _parts():
+    """Blocks that hold the rows of a group."""
+    return F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).cast("int")
+
+
+def _packs(groups: DataFrame, side: int) -> DataFrame:
+    """Groups of one block share packs of about half a block; a larger one has its own."""
+    total = groups.agg(_parts()).first()[0] or 1
+    place = F.pmod(F.xxhash64("group"), F.lit(2 * total))
+    pack = F.when(F.col("blocks") > 1, F.col("group")).otherwise(place if side > 0 else -1 - place)
+    return groups.select("key", "copies", "group", "band", "blocks", pack.alias("pack"))
+
+
+def deal(comps: DataFrame, entries: DataFrame) -> DataFrame:
+    """(key, copies, group, band, blocks, pack): the groups in which a node meets others.
+
+    ``comps`` has (key, comp, copies, shingles, blocks), ``entries`` (key, number, band).
+    A group is a component, or, for a component of several blocks of which
+    that sends fewer rows, each band that its nodes share.
+    """
+    whole = comps.select("key", "copies", "shingles", F.col("comp").alias("group"), F.lit(ANY).alias("band"), "blocks")
+    large = comps.filter(F.col("blocks") > 1)
+    if large.isEmpty():
+        return _packs(whole, 1)
+    held = cut(entries.join(small(large.select("key", "comp", "copies", "shingles")), "key"))
+    shared = cut(held.groupBy("comp", "number", "band").agg(F.count(F.lit(1)).alias("size"), _parts().alias("blocks"))
+                 .filter(F.col("size") > 1))
+    at_once = large.groupBy("comp").agg((F.count(F.lit(1)) * F.max("blocks")).alias("at_once"))
+    banded = shared.groupBy("comp").agg(F.sum(F.col("size") * F.col("blocks")).alias("banded"))
+    sparse = small(cut(at_once.join(banded, "comp").filter(F.col("banded") < F.col("at_once")).select("comp")))
+    rest = whole.join(sparse.withColumnRenamed("comp", "group"), "group", "left_anti")
+    dealt = cut(held.join(shared, ["comp", "number", "band"]).join(sparse, "comp", "left_semi").select(
+        "key", "copies", "shingles", F.col("band").alias("group"), F.col("number").alias("band"), "blocks"))
+    return _packs(rest, 1).unionByName(_packs(dealt, -1))
+
+
 def node_links(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
     """(key, links, component) of every text that is linked with another text.
 
@@ -264,7 +323,7 @@ def node_links(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float =
     """
     nodes = docs.select(text_key().alias("key"), "text").filter(F.col("key").isNotNull())
     sketches = cut(nodes.mapInArrow(_band_rows, "key long, shingles long, bands array<long>"))
-    entries = sketches.select("key", F.explode("bands").alias("band"))
+    entries = sketches.select("key", F.posexplode("bands").alias("number", "band"))
     shared = (entries.groupBy("band").agg(F.min("key").alias("low"), F.max("key").alias("high"))
               .filter(F.col("low") != F.col("high")).select("band", "low"))
     # a node and the smallest nodes of its bands (at most one a band) are tied to the smallest of them all,
@@ -276,22 +335,18 @@ def node_links(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float =
     comps = connected_components(stars).select(F.col("id").alias("key"), F.col("component").alias("comp"))
     copies = sketches.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.max("shingles").alias("shingles"))
     comps = cut(comps.join(copies, "key"))
-    parts = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).cast("int")
-    sizes = comps.groupBy("comp").agg(parts.alias("blocks"))
+    sizes = comps.groupBy("comp").agg(_parts().alias("blocks"))
     comps = cut(comps.join(sizes, "comp"))
-    total = comps.agg(parts).first()[0] or 1
 
     # Texts are read again for the nodes that have a candidate only.
-    found = nodes.join(small(comps.select("key", "comp")), "key").select("key", "text", "comp")
-    once = found.groupBy("key").agg(F.first("text").alias("text"), F.first("comp").alias("comp"))
-    sketch = once.mapInArrow(_sketch_rows, "key long, comp long, sig binary, sh binary")
-    sketch = sketch.join(comps.select("key", "copies", "blocks"), "key")
+    found = nodes.join(small(comps.select("key")), "key").select("key", "text")
+    sketch = found.groupBy("key").agg(F.first("text").alias("text")).mapInArrow(_sketch_rows, "key long, sig binary, sh binary")
+    sketch = sketch.join(deal(comps, entries), "key")
     sketch = (sketch.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other")))
-    pack = F.when(F.col("blocks") > 1, F.col("comp")).otherwise(F.pmod(F.xxhash64("comp"), F.lit(2 * total)))
     schema = "key long, links long, top long"
-    part = (sketch.withColumn("pack", pack).select("pack", "comp", "x", "y", "block", "key", "copies", "sig", "sh")
+    part = (sketch.select("pack", "group", "band", "x", "y", "block", "key", "copies", "sig", "sh")
             .groupBy("pack", "x", "y").applyInPandas(_verify(threshold, tolerance), schema))
     return gather(part)
 

@@ -1,0 +1,108 @@
+"""op4: components over a block, dealt out whole where dense and by band where sparse."""
+
+import os
+import subprocess
+import sys
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from martwise.llm import ngram_jaccard as nj
+from martwise.llm.common import ship
+from tests.llm.test_text_operators import check_jaccard, near_copies
+
+
+@pytest.fixture(scope="module")
+def shipped(spark):
+    ship(spark)
+    return spark
+
+
+def chain(n, words=60, step=18, seed=3):
+    """Windows over one long text: neighbours share some shingles (too few for a link), far ones none; every
+    20th is followed by a near copy of it, which is a link."""
+    rng = np.random.default_rng(seed)
+    long = [f"w{x}" for x in rng.integers(0, 10 ** 9, n * step + words)]
+    out = []
+    for k in range(n):
+        own = long[k * step:k * step + words]
+        out.append(" ".join(own))
+        if k % 20 == 0:
+            out.append(" ".join(own[:-1] + ["changed"]))
+    return out
+
+
+def band_sizes(texts):
+    keys = [nj.bands(nj.signature(nj.shingles(t))) for t in texts]
+    return [Counter(k[n] for k in keys) for n in range(nj.BANDS)]
+
+
+def tables(spark, texts, blocks):
+    """comps and entries as node_links makes them, all texts in one component."""
+    keys = [nj.bands(nj.signature(nj.shingles(t))) for t in texts]
+    entries = spark.createDataFrame([(i, n, int(b)) for i, k in enumerate(keys) for n, b in enumerate(k)],
+                                    "key long, number int, band long")
+    comps = spark.createDataFrame([(i, 7, 1, 50, blocks) for i in range(len(texts))],
+                                  "key long, comp long, copies long, shingles long, blocks int")
+    return comps, entries
+
+
+def test_a_chain_meets_only_where_it_shares_a_band(shipped, monkeypatch):
+    monkeypatch.setattr(nj, "BLOCK", 16)
+    texts = chain(160)
+    comps, entries = tables(shipped, texts, -(-len(texts) // 16))
+    dealt = nj.deal(comps, entries)
+    met = {(r["band"], r["group"]): r["size"] for r in dealt.groupBy("band", "group").agg(F.count("*").alias("size")).collect()}
+    want = {(n, int(b)): c for n, sizes in enumerate(band_sizes(texts)) for b, c in sizes.items() if c > 1}
+    assert met == want  # every shared band once, nothing else: nodes meet just where they share one
+    rows = sum(c * -(-c // 16) for c in met.values())
+    assert rows < len(texts) * -(-len(texts) // 16)
+    pairs = sum(c * (c - 1) // 2 for c in met.values())
+    assert pairs < len(texts) * (len(texts) - 1) // 2 / 4
+
+
+def test_dense_components_stay_whole(shipped, monkeypatch):
+    monkeypatch.setattr(nj, "BLOCK", 16)
+    texts = near_copies(100)
+    comps, entries = tables(shipped, texts, -(-len(texts) // 16))
+    dealt = nj.deal(comps, entries)
+    assert {(r["group"], r["band"], r["blocks"]) for r in dealt.collect()} == {(7, nj.ANY, 7)} and dealt.count() == len(texts)
+
+
+def test_links_of_chains_equal_brute_force(shipped, monkeypatch):
+    monkeypatch.setattr(nj, "BLOCK", 8)
+    texts = chain(200, step=12) + near_copies(60) + ["", None]
+    ways, deal = [], nj.deal
+
+    def watched(comps, entries):
+        out = deal(comps, entries)
+        ways.append({r[0] for r in out.select((F.col("band") == nj.ANY) & (F.col("blocks") > 1)).distinct().collect()
+                     } | {r[0] for r in out.select(F.when(F.col("band") != nj.ANY, "bands")).distinct().collect()})
+        return out
+    monkeypatch.setattr(nj, "deal", watched)
+    check_jaccard(shipped, list(enumerate(texts)))
+    assert all({True, "bands"} <= w for w in ways) and len(ways) == 2  # both ways were gone
+
+
+def test_first_bands_equal_plain_search():
+    rng = np.random.default_rng(5)
+    a, b = (rng.integers(0, 2, (40, nj.HASHES)).astype(np.uint32) for _ in range(2))
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(40), np.arange(40), indexing="ij"))
+    want = [next((n for n in range(nj.BANDS) if (a[x, 4 * n:4 * n + 4] == b[y, 4 * n:4 * n + 4]).all()), nj.BANDS)
+            for x, y in zip(i, j)]
+    assert nj.first_bands(a, b, i, j).tolist() == want
+    assert len(nj.first_bands(a, b, i[:0], j[:0])) == 0
+
+
+def test_stages_are_removed_when_the_application_ends(tmp_path):
+    code = (f"import sys; sys.path.insert(0, {os.getcwd()!r})\n"
+            "from martwise.session import build_session\n"
+            f"s = build_session('local[1]', 1, extra={{'spark.checkpoint.dir': {str(tmp_path)!r}}})\n"
+            "from martwise.llm.common import cut\n"
+            "import glob\n"
+            f"assert cut(s.range(5)).count() == 5 and len(glob.glob({str(tmp_path)!r} + '/martwise-*')) == 1\n"
+            "s.stop()\n")
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120, env={**os.environ, "PYTHONPATH": ""})
+    assert not list(tmp_path.glob("martwise-*"))
