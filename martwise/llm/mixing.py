@@ -26,6 +26,22 @@ CAP = 2.0
 SEED = "mix-1"
 
 
+def sums_before(per: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """``per`` with the sums over the rows before each, in a total ``order``.
+
+    Rows are cut into ranges of the order; a range sums up its own, and adds
+    the totals of the ranges before it, a row a range.  No task holds all rows.
+    """
+    dealt = cut(per.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()))
+    totals = dealt.groupBy("__range").agg(*[F.sum(e).alias(n) for n, e in sums.items()])
+    ahead = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    offsets = totals.select("__range", *[F.coalesce(F.sum(n).over(ahead), F.lit(0)).alias(f"__{n}") for n in sums])
+    inside = Window.partitionBy("__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    own = dealt.withColumns({n: F.coalesce(F.sum(e).over(inside), F.lit(0)) for n, e in sums.items()})
+    return own.join(F.broadcast(offsets), "__range").select(
+        *per.columns, *[(F.col(n) + F.col(f"__{n}")).alias(n) for n in sums])
+
+
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
     """Targets from (source, size): one row per source.
 
@@ -33,27 +49,25 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
     turn.  A target stops at ``cap`` times the source's size; what is over
     goes to the others by weight.  Sorted by size over weight, the stopped
     sources come first, so running sums give the final level in one pass.
-    The windows see one row per source, never documents.
+    Sources may be as many as hosts: they are summed in ranges, and the
+    driver sees totals only.
     """
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
+    per = sums_before(per, [F.col("source").asc_nulls_last()], {"__place": F.lit(1)})
     per = per.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]),
-                                                (place % len(weights) + 1).cast("int")))
-    every = Window.partitionBy()
-    order = Window.orderBy(F.col("source_size") / F.col("weight"), F.col("source").asc_nulls_last())
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    per = (per.withColumn("total", F.sum("source_size").over(every).cast("double") * share)
-           .withColumn("weights", F.sum("weight").over(every))
-           .withColumn("size_before", F.coalesce(F.sum("source_size").over(before), F.lit(0)).cast("double"))
-           .withColumn("weight_before", F.coalesce(F.sum("weight").over(before), F.lit(0.0))))
-    level = (F.col("total") - cap * F.col("size_before")) / (F.col("weights") - F.col("weight_before"))
+                                                (F.col("__place") % len(weights) + 1).cast("int"))).drop("__place")
+    per = cut(sums_before(per, [F.col("source_size") / F.col("weight"), F.col("source").asc_nulls_last()],
+                          {"size_before": F.col("source_size"), "weight_before": F.col("weight")}))
+    total_size, total_weight = per.agg(F.sum("source_size"), F.sum("weight")).first()  # one row
+    total = F.lit(float(total_size or 0) * share)
+    level = (total - cap * F.col("size_before").cast("double")) / (F.lit(total_weight or 0.0) - F.col("weight_before"))
     full = cap * F.col("source_size").cast("double")
     per = per.withColumn("stopped", full <= level * F.col("weight"))
-    stopped_size = F.sum(F.when(F.col("stopped"), F.col("source_size")).otherwise(F.lit(0))).over(every).cast("double")
-    stopped_weight = F.sum(F.when(F.col("stopped"), F.col("weight")).otherwise(F.lit(0.0))).over(every)
-    open_weight = F.col("weights") - stopped_weight
-    per = per.withColumn("level", F.when(open_weight > 0, (F.col("total") - cap * stopped_size) / open_weight))
-    target = F.when(F.col("stopped"), full).otherwise(F.col("level") * F.col("weight"))
+    stopped_size, stopped_weight = per.filter("stopped").agg(F.sum("source_size"), F.sum("weight")).first()
+    open_weight = float(total_weight or 0.0) - float(stopped_weight or 0.0)
+    rest = float(total_size or 0) * share - cap * float(stopped_size or 0)
+    final = F.lit(rest / open_weight if open_weight > 0 else None).cast("double")
+    target = F.when(F.col("stopped"), full).otherwise(final * F.col("weight"))
     per = per.withColumn("target", target)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     return per.select("source", "source_size", "weight", "target", rate.alias("rate"))
