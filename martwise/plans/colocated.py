@@ -8,7 +8,7 @@ many tasks.  Both give what the functions over plain tables give.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martwise.functions.columns import whole_days
@@ -35,6 +35,11 @@ def colocate_gold(tables: dict[str, DataFrame], database: str, buckets: int, roo
     return out
 
 
+def open_gold(spark: SparkSession, database: str, prefix: str = "by_customer_") -> dict[str, Colocated]:
+    """The co-located tables that ``colocate_gold`` has published."""
+    return {name: open_colocated(spark, f"{database}.{prefix}{name}") for name in SORTED}
+
+
 def _each_once(customers: Colocated) -> None:
     if not customers.hot_keys.isEmpty():
         raise ValueError("the dimension holds a customer more often than a bucket has rows")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from martwise import schemas
 from martwise.operators import quality, rfm
-from martwise.plans import checks, view_sql, views
+from martwise.plans import checks, colocated, view_sql, views
 from martwise.plans.gold import GOLD_NAMES, GoldBase
 from martwise.schemas import LAYOUT
 from martwise.sinks import tables as sinks
@@ -139,12 +139,22 @@ def run_full_pipeline(gold: GoldBase, out_root: str, as_of=None) -> DataFrame:
     return run_summary(spark, counts, quality_checks(t, as_of, observed).unionByName(removed))
 
 
-def publish_gold(gold: GoldBase, database: str, location: str | None = None, as_of=None) -> dict[str, int]:
+def published(spark: SparkSession, database: str, name: str) -> DataFrame:
+    """A table of ``publish_gold`` with the columns of its schema."""
+    field = LAYOUT.get(name, (None, ()))[0]
+    df = spark.table(f"{database}.{name}")
+    return df.drop(sinks.day_column(field)) if field else df
+
+
+def publish_gold(gold: GoldBase, database: str, location: str | None = None, as_of=None,
+                 buckets: int | None = None) -> dict[str, int]:
     """R1 into the catalog: every gold table is published as a version of
     ``database``'s table of that name (K1), dim_customers then once more with its
     aggregates (K8), and the three views are stored beside them (K6).  At no
     time does a reader find a table missing or half written.  Returns the rows
-    per table; a table whose source is empty is left as it was, or made empty."""
+    per table; a table whose source is empty is left as it was, or made empty.
+    ``buckets``: the tables that the customer joins are also dealt out by
+    customer (``colocated.open_gold`` reads them), and the aggregates are taken there."""
     spark = gold.spark
     sinks.create_database_if_not_exists(spark, database, location)
     counts = {}
@@ -155,12 +165,19 @@ def publish_gold(gold: GoldBase, database: str, location: str | None = None, as_
         counts[name] = 0 if raw is None else versions.publish_table(getattr(gold, name), table, field, cluster, raw)
         if not spark.catalog.tableExists(versions.quoted(spark, table)):
             spark.createDataFrame([], schemas.GOLD[name]).write.saveAsTable(versions.quoted(spark, table))
+    by_customer = {}
+    if buckets:
+        by_customer = colocated.colocate_gold({n: published(spark, database, n) for n in colocated.SORTED}, database, buckets)
     if counts["fact_orders"]:
         field, cluster = LAYOUT["dim_customers"]
-        customers = spark.table(f"{database}.dim_customers")
-        updated = rfm.update_customer_aggregates(customers.drop(sinks.day_column(field)) if field else customers,
-                                                 spark.table(f"{database}.fact_orders"), as_of=as_of)
+        customers = published(spark, database, "dim_customers")
+        if buckets:
+            updated = colocated.update_customer_aggregates(by_customer["dim_customers"], by_customer["fact_orders"], as_of)
+        else:
+            updated = rfm.update_customer_aggregates(customers, published(spark, database, "fact_orders"), as_of=as_of)
         counts["dim_customers"] = versions.publish_table(updated, f"{database}.dim_customers", field, cluster, customers)
+        if buckets:
+            colocated.colocate_gold({"dim_customers": published(spark, database, "dim_customers")}, database, buckets)
     view_sql.store_views(spark, database, as_of)
     return counts
 

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from martwise.operators import rfm
 from martwise.plans import colocated, views
-from martwise.plans.gold import EVENTS_AS_OF, ORDERS_AS_OF, DriverGold
+from martwise.plans.gold import EVENTS_AS_OF, ORDERS_AS_OF, DriverGold, RawJsonGold
+from martwise.plans.jobs import publish_gold, published
 from martwise.sinks import buckets, versions
 from martwise.sinks import tables as sinks
+from tests import fixtures
 from tests.conftest import SF001
 
 
@@ -131,3 +133,16 @@ def test_empty_tables_and_dimensions_with_repeats(spark, database):
     sinks.save_as_table(spark.range(3), f"{database}.plain")
     with pytest.raises(ValueError, match="not co-located"):
         buckets.open_colocated(spark, f"{database}.plain")
+
+
+def test_a_run_publishes_tables_by_customer(spark, tmp_dir):
+    gold = RawJsonGold(spark, fixtures.write_exports(f"{tmp_dir}/exports"))
+    as_of = "2025-04-01 00:00:00"
+    plain, dealt = (f"shop_{uuid.uuid4().hex[:8]}" for _ in range(2))
+    assert publish_gold(gold, plain, f"{tmp_dir}/{plain}", as_of) == publish_gold(gold, dealt, f"{tmp_dir}/{dealt}", as_of, buckets=3)
+    assert rows(published(spark, plain, "dim_customers")) == rows(published(spark, dealt, "dim_customers"))
+    t = colocated.open_gold(spark, dealt)
+    assert {n: c.buckets for n, c in t.items()} == dict.fromkeys(colocated.SORTED, 3)
+    assert rows(t["dim_customers"].whole()) == rows(published(spark, dealt, "dim_customers"))
+    journey = colocated.customer_journey(t["fact_cart_events"], t["dim_customers"], t["fact_orders"])
+    assert rows(journey) == rows(spark.table(f"{plain}.vw_customer_journey"))
