@@ -83,41 +83,46 @@ def amount_stats_many(specs: Sequence[tuple[DataFrame, Sequence[str], str, bool]
     """DQ4 / A7 + A11: mean, exact median, sample std, negatives, > 3 sigma
     for every (table, amount column) in ``specs``, in one plan.
 
-    Each table is read into a long (table, column, value) frame and reduced to
-    one histogram, a row per distinct value with its count, combined
-    map-side.  Everything else comes from the histogram, whose exchange Spark
-    reuses, so a table is built once: count, mean and negatives; the squared
-    deviations from that mean (a second pass, which stays exact for large
-    values close together); the exact median; and the outliers.
+    Each table is unpivoted into long (spec, value) rows and reduced to one
+    histogram, a row per distinct value with its count, combined map-side.
+    Everything else comes from the histogram, whose exchange Spark reuses, so
+    a table is built once: count, mean, negatives and the counts per band of
+    values; the squared deviations from that mean (a second pass, which stays
+    exact for large values close together); the exact median; and the
+    outliers.  The exchange is only reused where every reader asks for the
+    same rows, so no reader may add a filter that Spark would push below it:
+    the joins on ``_spec``, never null, add none, nor does the null-safe one
+    of the median.
     Mean and std are rounded to 4 and 2 places, beyond the noise that the order
     of summation leaves.  Std 0 or a single value has no outliers.
     """
-    longs = []
+    longs, labels = [], []
     for df, columns, table_name, allow_negative in specs:
         cols = [c for c in columns if c in df.columns]
-        longs.append(df.select(F.explode(F.array(*[
-            F.struct(F.lit(table_name).alias("table_name"), F.lit(c).alias("column_name"),
-                     F.lit(allow_negative).alias("allow_negative"), F.col(c).cast("double").alias("x"))
-            for c in cols])).alias("_e")).select("_e.*"))
+        ids = [str(len(labels) + i) for i in range(len(cols))]  # short keys travel instead of the names
+        labels += [F.struct(F.lit(table_name).alias("table_name"), F.lit(c).alias("column_name"),
+                            F.lit(allow_negative).alias("allow_negative")) for c in cols]
+        longs.append(df.select(*[F.col(c).cast("double").alias(i) for c, i in zip(cols, ids, strict=True)])
+                       .unpivot([], ids, "_spec", "x"))
     long = longs[0]
     for lf in longs[1:]:
         long = long.unionByName(lf)
-    keys = ["table_name", "column_name", "allow_negative"]
-    hist = long.filter(F.col("x").isNotNull()).groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c"))
-    base = hist.groupBy(*keys).agg(F.sum("c").alias("n"), (F.sum(F.col("x") * F.col("c")) / F.sum("c")).alias("_mean"),
-                                   F.sum(F.when(F.col("x") < 0, F.col("c")).otherwise(0)).alias("neg"))
+    hist = long.filter(F.col("x").isNotNull()).groupBy("_spec", "x").agg(F.count(F.lit(1)).alias("c"))
+    base = hist.groupBy("_spec").agg(F.sum("c").alias("n"), (F.sum(F.col("x") * F.col("c")) / F.sum("c")).alias("_mean"),
+                                     F.sum(F.when(F.col("x") < 0, F.col("c")).otherwise(0)).alias("neg"))
     # the joined sides have one row per (table, column): bounded broadcasts; each step carries on what it has
     away = F.col("x") - F.col("_mean")
-    stats = (hist.join(F.broadcast(base), keys).groupBy(*keys, "n", "_mean", "neg")
+    stats = (hist.join(F.broadcast(base), "_spec").groupBy("_spec", "n", "_mean", "neg")
              .agg(F.sum(away * away * F.col("c")).alias("_m2"))
              .withColumn("_std", F.when(F.col("n") > 1, F.sqrt(F.col("_m2") / (F.col("n") - 1)))))
     far = (F.col("_std") > 0) & (F.abs(away) > 3 * F.col("_std"))
-    stats = (hist.join(F.broadcast(stats), keys).groupBy(*keys, "n", "_mean", "neg", "_std")
+    stats = (hist.join(F.broadcast(stats), "_spec").groupBy("_spec", "n", "_mean", "neg", "_std")
              .agg(F.sum(F.when(far, F.col("c")).otherwise(0)).alias("outlier_count")))
-    return (stats.join(median_from_counts(hist, "x", "c", keys), keys, "left")
-                 .select("table_name", "column_name", F.col("n").alias("value_count"),
+    return (stats.join(median_from_counts(hist, "x", "c", ["_spec"]), "_spec", "left")
+                 .withColumn("_of", F.array(*labels)[F.col("_spec").cast("int")])
+                 .select("_of.table_name", "_of.column_name", F.col("n").alias("value_count"),
                          F.round("_mean", 4).alias("mean"), "median", F.round("_std", 2).alias("std"),
-                         F.when(~F.col("allow_negative"), F.col("neg")).alias("negative_count"), "outlier_count"))
+                         F.when(~F.col("_of.allow_negative"), F.col("neg")).alias("negative_count"), "outlier_count"))
 
 
 def table_profile(df: DataFrame, table_name: str, null_columns: Sequence[str] = (),

@@ -130,7 +130,9 @@ def median_from_counts(counts: DataFrame, value: str, count: str,
     bounded by the grid) locate the one or two bands holding the middle
     ranks; only the histogram rows of those bands are then ordered.  The
     located bands are at most two rows per group, so broadcasting them is
-    bounded by the number of groups."""
+    bounded by the number of groups.  Their join is null-safe: a plain one
+    would have Spark filter the bands for nulls below the histogram, which
+    would then be built a second time."""
     part = list(group_by)
     c = counts.select(*part, F.col(value).alias("_v"), F.col(count).alias("_c"),
                       log_grid(F.col(value)).alias("_g"))
@@ -144,7 +146,8 @@ def median_from_counts(counts: DataFrame, value: str, count: str,
     hi = F.floor(F.col("_n") / 2) + 1
     inside = lambda k, start, size: (F.col(start) < k) & (k <= F.col(start) + F.col(size))
     hit = bands.filter(inside(lo, "_boff", "_bc") | inside(hi, "_boff", "_bc")).drop("_bc")
-    sel = c.join(F.broadcast(hit), [*part, "_g"])
+    keys = [*part, "_g"]
+    sel = c.join(F.broadcast(_suffixed(hit, keys, "_r")), _null_safe_on(keys, "_r")).drop(*[k + "_r" for k in keys])
     w_in = Window.partitionBy(*part, "_g").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     sel = sel.withColumn("_start", F.col("_boff") + F.sum("_c").over(w_in) - F.col("_c"))
     picked = sel.select(*part,

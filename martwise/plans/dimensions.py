@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwise import schemas
 from martwise.functions.columns import (
     conform, date_key, is_holiday, parse_utc_timestamp, rename_existing, standardize_columns,
-    to_nullable_long,
+    to_nullable_long, truncated_long,
 )
 from martwise.operators.dedup import keep_first_with_id
 from martwise.sources.json_sources import SEQ, calendar, conform_raw
@@ -28,12 +28,6 @@ def _raw(df: DataFrame, schema, renames: dict[str, str] | None = None) -> DataFr
     return out
 
 
-def _long_keep_null(c: Column) -> Column:
-    """Integer amount, truncating fractional text, null stays null."""
-    c = c.cast("string")
-    return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
-
-
 def _one_per_id(df: DataFrame, key: str, raw_id: str, schema) -> DataFrame:
     """D1 by the parsed id; ids that do not parse are told apart by their
     text, and rows without an id are all kept (Q22)."""
@@ -59,9 +53,9 @@ def dim_products(raw_products: DataFrame) -> DataFrame:
     r = _raw(raw_products, schemas.RAW_PRODUCT)
     df = r.select(
         F.col("id").alias("_id"), to_nullable_long("id").alias("product_id"), F.col("name").alias("product_name"), "sku", "barcode",
-        "category", "brand", _long_keep_null(F.col("price_vnd")).alias("price_vnd"),
+        "category", "brand", truncated_long("price_vnd").alias("price_vnd"),
         F.col("price_usd").try_cast("double").alias("price_usd"),
-        _long_keep_null(F.col("stock_quantity")).alias("stock_quantity"),
+        truncated_long("stock_quantity").alias("stock_quantity"),
         F.lit(True).alias("is_active"), F.col(SEQ))
     return _one_per_id(df, "product_id", "_id", schemas.DIM_PRODUCTS)
 

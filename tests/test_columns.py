@@ -111,3 +111,18 @@ def test_recency_null_is_9999(spark):
 def test_holidays(spark):
     df = spark.createDataFrame([(dt.date(2025, 4, 30),), (dt.date(2025, 4, 29),), (dt.date(2025, 9, 2),)], "d date")
     assert [r[0] for r in df.select(C.is_holiday("d")).collect()] == [True, False, True]
+
+
+def test_integers_of_text_with_a_point_skip_the_integer_cast(spark):
+    # a cast that fails raises and catches an exception for its row: text with a point must not meet it
+    texts = ["23.0", " 23.9 ", "-0.9", ".5", "5.", "1.0E7", "1e3", "7", " -7 ", "9223372036854775807", "9223372036854775807.0",
+             "1.0E30", "9223372036854775808", "abc", "a.b", ".", "", "1.5d", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    c = F.col("t")
+    plain = F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
+    got = df.select(C.truncated_long("t").alias("new"), plain.alias("old"), C.to_long_or_zero("t").alias("zero")).collect()
+    assert [r["new"] for r in got] == [r["old"] for r in got]
+    assert [r["zero"] for r in got] == [r["old"] or 0 for r in got]
+    assert got[0]["new"] == 23 and got[9]["new"] == 9223372036854775807
+    plan = df.filter(C.to_long_or_zero("t") > 0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains(" in plan and plan.index("Contains(") < plan.index("try_cast(t")

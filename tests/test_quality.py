@@ -86,3 +86,18 @@ def test_quality_report_long_table(spark):
                                  [], [quality.amount_stats(df, ["a"], "t")])
     got = {(r["check_name"], r["column_name"]): r["value"] for r in rep.collect()}
     assert got[("nulls", "id")] == 1.0 and got[("duplicates", "id")] == 0.0 and got[("mean", "a")] == 15.0
+
+
+def test_amount_histogram_is_built_once(spark, tmp_dir):
+    # every reader of the histogram takes the same exchange, so each table is read once
+    a, b = f"{tmp_dir}/a", f"{tmp_dir}/b"
+    spark.range(500).selectExpr("if(id % 9 = 0, null, id * 3 - 20) as p", "id / 7 as q").write.parquet(a)
+    spark.range(300).selectExpr("id % 40 as p").write.parquet(b)
+    rep = quality.amount_stats_many([(spark.read.parquet(a), ["p", "q", "absent"], "ta", False),
+                                     (spark.read.parquet(b), ["p"], "tb", True)])
+    got = {(r["table_name"], r["column_name"]): r for r in rep.collect()}
+    assert set(got) == {("ta", "p"), ("ta", "q"), ("tb", "p")}
+    assert got["ta", "p"]["value_count"] == 444 and got["ta", "p"]["negative_count"] == 6
+    assert got["tb", "p"]["negative_count"] is None and got["tb", "p"]["mean"] == 18.8333
+    final = rep._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("FileScan parquet") == 2
