@@ -101,3 +101,17 @@ def test_amount_histogram_is_built_once(spark, tmp_dir):
     assert got["tb", "p"]["negative_count"] is None and got["tb", "p"]["mean"] == 18.8333
     final = rep._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert final.count("FileScan parquet") == 2
+
+
+def test_report_reads_a_table_once_for_all_its_amounts(spark, tmp_dir):
+    # a profile, a duplicate check and the amounts: three reads, not one more for the median
+    spark.range(200).selectExpr("id % 150 as k", "if(id % 5 = 0, null, id) as a", "id * 1.5D as b").write.parquet(tmp_dir + "/t")
+    df = spark.read.parquet(tmp_dir + "/t")
+    rep = quality.quality_report(dups=[quality.duplicate_counts(df, ["k"], "t")],
+                                 amounts=[quality.amount_stats_many([(df, ["a", "b"], "t", False)])],
+                                 profiles=[quality.table_profile(df, "t", ["k", "a"])])
+    got = {(r["check_name"], r["column_name"]): r["value"] for r in rep.collect()}
+    assert got["nulls", "a"] == 40.0 and got["duplicates", "k"] == 50.0 and got["median", "b"] == 149.25
+    assert got["mean", "a"] == 100.0 and got["outlier_count", "a"] == 0.0
+    final = rep._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("FileScan parquet") == 3
