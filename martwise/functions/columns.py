@@ -66,7 +66,7 @@ def date_key(c) -> Column:
 def integral_text(c) -> Column:
     """Text of a value, with the '.0' of an integral number taken off."""
     text = col(c).cast("string")
-    return F.when(text.endswith("0"), F.regexp_replace(text, r"^([+-]?\d+)\.0+$", "$1")).otherwise(text)
+    return F.when(text.endswith("0") & text.contains("."), F.regexp_replace(text, r"^([+-]?\d+)\.0+$", "$1")).otherwise(text)
 
 
 # P8 / Q11

@@ -10,13 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwise.functions.columns import as_of_literal, count_if
-from martwise.operators.ranking import median_from_counts
+from martwise.operators.ranking import holds_middle, log_grid, median_from_counts, place_bands
 
 DEFAULT_MIN_DATE = "2020-01-01"
+# bands of one column whose exact values are read: two hold the middle ranks, two the limits of 3 sigma
+MOST_EDGES = 4
 
 
 def null_counts(df: DataFrame, columns: Sequence[str], table_name: str) -> DataFrame:
@@ -83,16 +85,17 @@ def amount_stats_many(specs: Sequence[tuple[DataFrame, Sequence[str], str, bool]
     """DQ4 / A7 + A11: mean, exact median, sample std, negatives, > 3 sigma
     for every (table, amount column) in ``specs``, in one plan.
 
-    Each table is unpivoted into long (spec, value) rows and reduced to one
-    histogram, a row per distinct value with its count, combined map-side.
-    Everything else comes from the histogram, whose exchange Spark reuses, so
-    a table is built once: count, mean, negatives and the counts per band of
-    values; the squared deviations from that mean (a second pass, which stays
-    exact for large values close together); the exact median; and the
-    outliers.  The exchange is only reused where every reader asks for the
-    same rows, so no reader may add a filter that Spark would push below it:
-    the joins on ``_spec``, never null, add none, nor does the null-safe one
-    of the median.
+    A table's amounts go through one exchange, which Spark reuses, so a table
+    is built once, and are read from it twice as long (spec, value) rows.  The
+    first read sums up bands of the log grid, combined map-side into a table
+    bounded by the grid whatever the number of distinct values: count, mean,
+    squared deviations, negatives, least and greatest value.  They give all
+    but the median and the outliers, and say which bands hold the middle
+    ranks and which lie on both sides of 3 sigma.  The second read takes the
+    exact values of these few bands, at most ``MOST_EDGES`` per (table, column).
+    The exchange is only reused where every reader asks for the same rows and
+    columns: no reader may add a filter that Spark would push below it, and
+    the bands have one reader, whose rows carry the statistics on.
     Mean and std are rounded to 4 and 2 places, beyond the noise that the order
     of summation leaves.  Std 0 or a single value has no outliers.
     """
@@ -102,27 +105,47 @@ def amount_stats_many(specs: Sequence[tuple[DataFrame, Sequence[str], str, bool]
         ids = [str(len(labels) + i) for i in range(len(cols))]  # short keys travel instead of the names
         labels += [F.struct(F.lit(table_name).alias("table_name"), F.lit(c).alias("column_name"),
                             F.lit(allow_negative).alias("allow_negative")) for c in cols]
-        longs.append(df.select(*[F.col(c).cast("double").alias(i) for c, i in zip(cols, ids, strict=True)])
-                       .unpivot([], ids, "_spec", "x"))
+        amounts = df.select(*[F.col(c).cast("double").alias(i) for c, i in zip(cols, ids, strict=True)])
+        # rebalanced by value: the partitions of frequent values are split
+        longs.append(amounts.hint("rebalance", *[F.col(i) for i in ids]).unpivot([], ids, "_spec", "x"))
     long = longs[0]
     for lf in longs[1:]:
         long = long.unionByName(lf)
-    hist = long.filter(F.col("x").isNotNull()).groupBy("_spec", "x").agg(F.count(F.lit(1)).alias("c"))
-    base = hist.groupBy("_spec").agg(F.sum("c").alias("n"), (F.sum(F.col("x") * F.col("c")) / F.sum("c")).alias("_mean"),
-                                     F.sum(F.when(F.col("x") < 0, F.col("c")).otherwise(0)).alias("neg"))
-    # the joined sides have one row per (table, column): bounded broadcasts; each step carries on what it has
-    away = F.col("x") - F.col("_mean")
-    stats = (hist.join(F.broadcast(base), "_spec").groupBy("_spec", "n", "_mean", "neg")
-             .agg(F.sum(away * away * F.col("c")).alias("_m2"))
-             .withColumn("_std", F.when(F.col("n") > 1, F.sqrt(F.col("_m2") / (F.col("n") - 1)))))
-    far = (F.col("_std") > 0) & (F.abs(away) > 3 * F.col("_std"))
-    stats = (hist.join(F.broadcast(stats), "_spec").groupBy("_spec", "n", "_mean", "neg", "_std")
-             .agg(F.sum(F.when(far, F.col("c")).otherwise(0)).alias("outlier_count")))
-    return (stats.join(median_from_counts(hist, "x", "c", ["_spec"]), "_spec", "left")
+    x = F.col("x")
+    long = long.filter(x.isNotNull())
+    bands = long.groupBy("_spec", log_grid(x).alias("_g")).agg(
+        F.count(F.lit(1)).alias("_bc"), F.sum(x).alias("_sum"), F.var_pop(x).alias("_var"),
+        F.min(x).alias("_lo"), F.max(x).alias("_hi"), count_if(x < 0).alias("_neg"))
+    every = Window.partitionBy("_spec").orderBy("_g").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    off = F.col("_sum") / F.col("_bc") - F.col("_mean")
+    stats = (place_bands(bands, ["_spec"])
+             .withColumns({"_mean": F.sum("_sum").over(every) / F.col("_n"), "neg": F.sum("_neg").over(every)})
+             .withColumn("_m2", F.sum((F.col("_var") + off * off) * F.col("_bc")).over(every))
+             .withColumn("_std", F.when(F.col("_n") > 1, F.sqrt(F.col("_m2") / (F.col("_n") - 1)))))
+    # the distance from the mean falls up to it and rises from it, so the ends of a band tell about all of it
+    far = lambda v: F.coalesce((F.col("_std") > 0) & (F.abs(v - F.col("_mean")) > 3 * F.col("_std")), F.lit(False))
+    lo, hi = F.col("_lo"), F.col("_hi")
+    all_far = (far(lo) & (lo > F.col("_mean"))) | (far(hi) & (hi < F.col("_mean")))
+    edges = (stats.withColumn("_far", F.sum(F.when(all_far, F.col("_bc")).otherwise(0)).over(every))
+             .withColumn("_mixed", ~all_far & (far(lo) | far(hi))).filter(holds_middle() | F.col("_mixed")))
+    per = ["_spec", "_n", "_mean", "neg", "_std", "_far"]
+    edges = edges.groupBy(*per).agg(F.collect_list(F.struct("_lo", "_hi", "_g", "_boff", "_mixed")).alias("_edges"))
+    edges = edges.select("*", *[F.get("_edges", F.lit(i))[end].alias(f"{end}{i}") for i in range(MOST_EDGES) for end in ("_lo", "_hi")])
+    # bands do not overlap: a value between the ends of one is of that band
+    near = F.lit(False)
+    for i in range(MOST_EDGES):
+        near = near | x.between(F.col(f"_lo{i}"), F.col(f"_hi{i}"))
+    cells = (long.join(F.broadcast(edges), "_spec").filter(near).withColumn("_e", F.explode("_edges"))
+             .filter(x.between(F.col("_e._lo"), F.col("_e._hi")))
+             .groupBy(*per, F.col("_e._g").alias("_g"), F.col("_e._boff").alias("_boff"), F.col("_e._mixed").alias("_mixed"), "x")
+             .agg(F.count(F.lit(1)).alias("c")))
+    whole = cells.groupBy(*per).agg(F.sum(F.when(F.col("_mixed") & far(x), F.col("c")).otherwise(0)).alias("_beyond"))
+    return (whole.join(median_from_counts(cells, "x", "c", ["_spec"], placed=True), "_spec", "left")
                  .withColumn("_of", F.array(*labels)[F.col("_spec").cast("int")])
-                 .select("_of.table_name", "_of.column_name", F.col("n").alias("value_count"),
+                 .select("_of.table_name", "_of.column_name", F.col("_n").alias("value_count"),
                          F.round("_mean", 4).alias("mean"), "median", F.round("_std", 2).alias("std"),
-                         F.when(~F.col("_of.allow_negative"), F.col("neg")).alias("negative_count"), "outlier_count"))
+                         F.when(~F.col("_of.allow_negative"), F.col("neg")).alias("negative_count"),
+                         (F.col("_far") + F.col("_beyond")).alias("outlier_count")))
 
 
 def table_profile(df: DataFrame, table_name: str, null_columns: Sequence[str] = (),

@@ -120,8 +120,31 @@ def _default_tie_bucket(df: DataFrame, t: Column) -> Column:
     return text_bucket(t)
 
 
+def _inside(k: Column, start: str, size: str) -> Column:
+    return (F.col(start) < k) & (k <= F.col(start) + F.col(size))
+
+
+def _middle_ranks() -> tuple[Column, Column]:
+    return F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
+
+
+def place_bands(bands: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
+    """``bands``, one row per group and band ``_g`` with its rows ``_bc``, with
+    the rows before the band ``_boff`` and the rows of the group ``_n``."""
+    w = (Window.partitionBy(*group_by) if group_by else Window.partitionBy()).orderBy("_g")
+    return bands.withColumns({
+        "_boff": F.sum("_bc").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_bc"),
+        "_n": F.sum("_bc").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
+
+
+def holds_middle() -> Column:
+    """Whether a placed band holds one of the middle ranks."""
+    lo, hi = _middle_ranks()
+    return _inside(lo, "_boff", "_bc") | _inside(hi, "_boff", "_bc")
+
+
 def median_from_counts(counts: DataFrame, value: str, count: str,
-                       group_by: Sequence[str] = ()) -> DataFrame:
+                       group_by: Sequence[str] = (), placed: bool = False) -> DataFrame:
     """Exact median per group from a value histogram (one row per distinct
     non-null value with its count): the mean of the values at ranks
     floor((n+1)/2) and floor(n/2)+1, as pandas and DuckDB compute it.
@@ -132,27 +155,27 @@ def median_from_counts(counts: DataFrame, value: str, count: str,
     located bands are at most two rows per group, so broadcasting them is
     bounded by the number of groups.  Their join is null-safe: a plain one
     would have Spark filter the bands for nulls below the histogram, which
-    would then be built a second time."""
+    would then be built a second time.
+
+    With ``placed`` the histogram rows carry ``_g``, ``_boff`` and ``_n`` of
+    their band (``place_bands``) and may be those of a few bands alone, the
+    ones that ``holds_middle`` among them."""
     part = list(group_by)
-    c = counts.select(*part, F.col(value).alias("_v"), F.col(count).alias("_c"),
-                      log_grid(F.col(value)).alias("_g"))
-    bands = c.groupBy(*part, "_g").agg(F.sum("_c").alias("_bc"))
-    w_all = Window.partitionBy(*part) if part else Window.partitionBy()
-    w_run = w_all.orderBy("_g").rowsBetween(Window.unboundedPreceding, 0)
-    bands = bands.select(*part, "_g", "_bc", (F.sum("_bc").over(w_run) - F.col("_bc")).alias("_boff"),
-                         F.sum("_bc").over(w_all.rowsBetween(Window.unboundedPreceding,
-                                                             Window.unboundedFollowing)).alias("_n"))
-    lo = F.floor((F.col("_n") + 1) / 2)
-    hi = F.floor(F.col("_n") / 2) + 1
-    inside = lambda k, start, size: (F.col(start) < k) & (k <= F.col(start) + F.col(size))
-    hit = bands.filter(inside(lo, "_boff", "_bc") | inside(hi, "_boff", "_bc")).drop("_bc")
-    keys = [*part, "_g"]
-    sel = c.join(F.broadcast(_suffixed(hit, keys, "_r")), _null_safe_on(keys, "_r")).drop(*[k + "_r" for k in keys])
+    c = counts.withColumnsRenamed({value: "_v", count: "_c"})
+    if placed:
+        sel = c.select(*part, "_v", "_c", "_g", "_boff", "_n")
+    else:
+        c = c.select(*part, "_v", "_c", log_grid(F.col("_v")).alias("_g"))
+        bands = c.groupBy(*part, "_g").agg(F.sum("_c").alias("_bc"))
+        hit = place_bands(bands, part).filter(holds_middle()).drop("_bc")
+        keys = [*part, "_g"]
+        sel = c.join(F.broadcast(_suffixed(hit, keys, "_r")), _null_safe_on(keys, "_r")).drop(*[k + "_r" for k in keys])
     w_in = Window.partitionBy(*part, "_g").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     sel = sel.withColumn("_start", F.col("_boff") + F.sum("_c").over(w_in) - F.col("_c"))
+    lo, hi = _middle_ranks()
     picked = sel.select(*part,
-                        F.when(inside(lo, "_start", "_c"), F.col("_v").cast("double")).alias("_lo"),
-                        F.when(inside(hi, "_start", "_c"), F.col("_v").cast("double")).alias("_hi"))
+                        F.when(_inside(lo, "_start", "_c"), F.col("_v").cast("double")).alias("_lo"),
+                        F.when(_inside(hi, "_start", "_c"), F.col("_v").cast("double")).alias("_hi"))
     return picked.groupBy(*part).agg(((F.max("_lo") + F.max("_hi")) / F.lit(2.0)).alias("median"))
 
 
